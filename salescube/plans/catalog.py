@@ -72,17 +72,17 @@ def stg_prices(spark, sf_dir):
 
 @register("dim_item", q("SELECT * FROM dim_item"))
 def dim_item(spark, sf_dir):
-    return layers(spark, sf_dir).dim_item
+    return layers(spark, sf_dir).build_dim_item()
 
 
 @register("dim_store", q("SELECT * FROM dim_store"))
 def dim_store(spark, sf_dir):
-    return layers(spark, sf_dir).dim_store
+    return layers(spark, sf_dir).build_dim_store()
 
 
 @register("dim_calendar", q("SELECT * FROM dim_calendar"))
 def dim_calendar(spark, sf_dir):
-    return layers(spark, sf_dir).dim_calendar
+    return layers(spark, sf_dir).build_dim_calendar()
 
 
 FCT_COLS = ["date", "store_id", "item_id", "sales", "wday", "month", "year", "event_name_1",
@@ -93,7 +93,7 @@ FCT_COLS = ["date", "store_id", "item_id", "sales", "wday", "month", "year", "ev
 SELECT date, store_id, item_id, sales, sell_price, wday, month, year,
        event_name_1, event_type_1, snap_flag FROM fct_sales"""))
 def fct_sales(spark, sf_dir):
-    return layers(spark, sf_dir).fct_sales.select(*FCT_COLS, "sell_price")
+    return layers(spark, sf_dir).build_fct_sales().select(*FCT_COLS, "sell_price")
 
 
 @register("extract_range", q("""
@@ -365,11 +365,16 @@ def series_weights(spark, sf_dir):
 
 # --------------------------------------------------------------------------- accuracy marts / reads
 
+@register("fct_sales_predictions", q("SELECT * FROM fct_sales_predictions"))
+def fct_sales_predictions(spark, sf_dir):
+    return layers(spark, sf_dir).build_fct_sales_predictions()
+
+
 @register("prediction_accuracy", q("""
 SELECT date, store_id, item_id, predicted_sales, actual_sales, abs_error, ROUND(pct_error, 6) AS pct_error
 FROM fct_prediction_accuracy"""))
 def prediction_accuracy(spark, sf_dir):
-    acc = layers(spark, sf_dir).prediction_accuracy
+    acc = layers(spark, sf_dir).build_prediction_accuracy()
     return acc.select(*GRAIN, "predicted_sales", "actual_sales", "abs_error", *r6("pct_error"))
 
 
@@ -377,7 +382,7 @@ def prediction_accuracy(spark, sf_dir):
 SELECT date, n_predictions, ROUND(mae, 6) AS mae, ROUND(mape, 6) AS mape, ROUND(rmse, 6) AS rmse
 FROM agg_prediction_accuracy_daily"""))
 def accuracy_daily(spark, sf_dir):
-    d = layers(spark, sf_dir).accuracy_daily
+    d = layers(spark, sf_dir).build_accuracy_daily()
     return d.select("date", "n_predictions", *r6("mae", "mape", "rmse"))
 
 

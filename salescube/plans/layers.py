@@ -1,20 +1,23 @@
-"""Raw -> staging -> marts, composed lazily over one input directory.
-
-Each attribute is a DataFrame (a logical plan); nothing runs until an action.
-In production the marts are written once as Parquet tables (see
-``salescube.sources.io.write_table``) and later jobs read them back; the
-registered queries compose from the raw inputs so their work grows with them.
+"""Raw -> staging -> marts over one input directory.
+
+Layering follows the modelled application: raw inputs and marts are stored
+tables (written once per application to the shared folder, see
+``Warehouse``), staging is a set of lazy views. ``build_<mart>()`` returns the
+lazy plan that computes a mart from the layer below (what the mart's own
+query runs); the attribute of the same name is the stored table that
+downstream jobs read, so they never recompute the whole lineage.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescube.operators import marts, staging
-from salescube.schemas import GRAIN
+from salescube.plans.warehouse import Warehouse
+from salescube.schemas import GRAIN, ID_COLUMNS
 from salescube.sources.mapping import DriverTables
 
 PREDICTION_DAYS = 90     # trailing days covered by the derived predictions table
@@ -22,11 +25,16 @@ PREDICTION_LAG = 7       # predicted_sales = sales this many rows earlier
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str, **mapping_kw):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True, **mapping_kw):
         self.spark = spark
-        self.raw = DriverTables(spark, sf_dir, **mapping_kw)
+        ns = f"{sf_dir}|{sorted(mapping_kw.items())}"
+        self.wh = Warehouse(spark, ns) if stored else None
+        self.raw = DriverTables(spark, sf_dir, store=self.wh, **mapping_kw)
+
+    def _keep(self, name: str, build) -> DataFrame:
+        return self.wh.table(name, build) if self.wh is not None else build()
 
-    # staging
+    # ---- staging (views) ----------------------------------------------------
     @cached_property
     def stg_sales_history(self) -> DataFrame:
         return staging.stg_sales_history(self.raw.sales_history)
@@ -47,42 +55,63 @@ class Layers:
     def stg_prices(self) -> DataFrame:
         return staging.stg_prices(self.raw.sell_prices)
 
-    # marts
+    # ---- marts: lazy builds ---------------------------------------------------
+    def build_dim_item(self) -> DataFrame:
+        return marts.dim_item(self.stg_sales_history)
+
+    def build_dim_store(self) -> DataFrame:
+        return marts.dim_store(self.stg_sales_history)
+
+    def build_dim_calendar(self) -> DataFrame:
+        return marts.dim_calendar(self.stg_calendar)
+
+    def build_fct_sales(self) -> DataFrame:
+        return marts.fct_sales(self.stg_sales, self.dim_calendar, self.dim_store, self.stg_prices)
+
+    def build_fct_sales_predictions(self) -> DataFrame:
+        """Deterministic stand-in for model output: sales 7 rows earlier, last 90 days."""
+        w = Window.partitionBy(*ID_COLUMNS).orderBy("date")
+        return (self.fct_sales.select(*GRAIN, "sales")
+                .withColumn("predicted_sales", F.lag("sales", PREDICTION_LAG).over(w).cast("double"))
+                .filter(F.col("date") > F.date_sub(self.last_date, PREDICTION_DAYS))
+                .select(*GRAIN, "predicted_sales"))
+
+    def build_prediction_accuracy(self) -> DataFrame:
+        return marts.prediction_accuracy(self.fct_sales_predictions, self.fct_sales)
+
+    def build_accuracy_daily(self) -> DataFrame:
+        return marts.accuracy_daily(self.prediction_accuracy)
+
+    # ---- marts: stored tables -----------------------------------------------
     @cached_property
     def dim_item(self) -> DataFrame:
-        return marts.dim_item(self.stg_sales_history)
+        return self._keep("dim_item", self.build_dim_item)
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return marts.dim_store(self.stg_sales_history)
+        return self._keep("dim_store", self.build_dim_store)
 
     @cached_property
     def dim_calendar(self) -> DataFrame:
-        return marts.dim_calendar(self.stg_calendar)
+        return self._keep("dim_calendar", self.build_dim_calendar)
 
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return marts.fct_sales(self.stg_sales, self.dim_calendar, self.dim_store, self.stg_prices)
+        return self._keep("fct_sales", self.build_fct_sales)
 
-    @cached_property
+    @property
     def last_date(self):
         """Latest fact date (shifted time) as a scalar subquery column."""
         return self.fct_sales.agg(F.max("date")).scalar()
 
     @cached_property
     def fct_sales_predictions(self) -> DataFrame:
-        """Deterministic stand-in for model output: sales 7 rows earlier, last 90 days."""
-        from pyspark.sql import Window
-        w = Window.partitionBy("store_id", "item_id").orderBy("date")
-        return (self.fct_sales.select(*GRAIN, "sales")
-                .withColumn("predicted_sales", F.lag("sales", PREDICTION_LAG).over(w).cast("double"))
-                .filter(F.col("date") > F.date_sub(self.last_date, PREDICTION_DAYS))
-                .select(*GRAIN, "predicted_sales"))
+        return self._keep("fct_sales_predictions", self.build_fct_sales_predictions)
 
     @cached_property
     def prediction_accuracy(self) -> DataFrame:
-        return marts.prediction_accuracy(self.fct_sales_predictions, self.fct_sales)
+        return self._keep("fct_prediction_accuracy", self.build_prediction_accuracy)
 
     @cached_property
     def accuracy_daily(self) -> DataFrame:
-        return marts.accuracy_daily(self.prediction_accuracy)
+        return self._keep("agg_prediction_accuracy_daily", self.build_accuracy_daily)

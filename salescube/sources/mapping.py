@@ -67,11 +67,17 @@ class DriverTables:
     """Lazily built raw tables over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, store_level: str = "region",
-                 item_level: str = "brand"):
+                 item_level: str = "brand", store=None):
+        """`store`: optional ``Warehouse``; when given, the raw tables are written
+        once and read back (the application's raw layer is stored tables)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.store_level = store_level
         self.item_level = item_level
+        self.store = store
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        return self.store.table(name, lambda: df) if self.store is not None else df
 
     def read(self, name: str, *cols: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, *cols)
@@ -108,15 +114,19 @@ class DriverTables:
                 .agg(F.sum("quantity").cast("long").alias("sales")))
 
     # -- global bounds (scalar subqueries) ------------------------------------
+    def _day_source(self) -> DataFrame:
+        # Once the panel is stored, its date column is the cheaper source.
+        if self.store is not None and "panel" in self.__dict__:
+            return self.panel.select("date")
+        return self.read("lineitem", "l_shipdate").select(F.col("l_shipdate").cast("date").alias("date"))
+
     @property
     def first_day(self) -> Column:
-        return self.read("lineitem", "l_shipdate").agg(
-            F.min(F.col("l_shipdate").cast("date"))).scalar()
+        return self._day_source().agg(F.min("date")).scalar()
 
     @property
     def last_day(self) -> Column:
-        return self.read("lineitem", "l_shipdate").agg(
-            F.max(F.col("l_shipdate").cast("date"))).scalar()
+        return self._day_source().agg(F.max("date")).scalar()
 
     def day_number(self, date: Column) -> Column:
         """1-based position of `date` in the panel (calendar `d_n`)."""
@@ -138,8 +148,8 @@ class DriverTables:
         skeleton = self.series.select(
             *ID_COLUMNS, F.explode(F.sequence(self.first_day, self.last_day)).alias("date"),
             F.lit(0).cast("long").alias("sales"))
-        return (self.sales_base.unionByName(skeleton)
-                .groupBy(*GRAIN).agg(F.sum("sales").cast("long").alias("sales")))
+        return self._keep("panel", self.sales_base.unionByName(skeleton)
+                          .groupBy(*GRAIN).agg(F.sum("sales").cast("long").alias("sales")))
 
     def with_ids(self, df: DataFrame) -> DataFrame:
         return df.select("date", "store_id", "item_id",
@@ -172,7 +182,7 @@ class DriverTables:
             name = F.when(md == key, F.lit(ev_name)) if name is None else name.when(md == key, F.lit(ev_name))
             type_ = F.when(md == key, F.lit(ev_type)) if type_ is None else type_.when(md == key, F.lit(ev_type))
         dom = F.dayofmonth("date")
-        return days.select(
+        return self._keep("calendar", days.select(
             F.concat(F.lit("d_"), n.cast("string")).alias("d"),
             "date",
             (F.lit(WEEK_BASE) + F.floor(n / 7)).cast("int").alias("wm_yr_wk"),
@@ -184,14 +194,14 @@ class DriverTables:
             F.lit(None).cast("string").alias("event_type_2"),
             (dom <= 10).cast("long").alias("snap_ca"),
             (dom % 3 == 0).cast("long").alias("snap_tx"),
-            (dom >= 20).cast("long").alias("snap_wi"))
+            (dom >= 20).cast("long").alias("snap_wi")))
 
     @cached_property
     def sell_prices(self) -> DataFrame:
         week = (F.lit(WEEK_BASE) + F.floor(self.day_number(F.col("date")) / 7)).cast("int")
-        return (self.line_facts.withColumn("wm_yr_wk", week)
-                .groupBy("store_id", "item_id", "wm_yr_wk")
-                .agg(F.min("unit_price").alias("sell_price")))
+        return self._keep("sell_prices", self.line_facts.withColumn("wm_yr_wk", week)
+                          .groupBy("store_id", "item_id", "wm_yr_wk")
+                          .agg(F.min("unit_price").alias("sell_price")))
 
     @cached_property
     def sales_wide(self) -> DataFrame:
@@ -199,4 +209,4 @@ class DriverTables:
         first = self.panel.filter(F.col("date") < F.date_add(self.first_day, WIDE_DAYS))
         n = self.day_number(F.col("date"))
         cols = [F.max(F.when(n == i, F.col("sales"))).alias(f"d_{i}") for i in range(1, WIDE_DAYS + 1)]
-        return self.with_ids(first).groupBy(*WIDE_ID_COLUMNS).agg(*cols)
+        return self._keep("sales_wide", self.with_ids(first).groupBy(*WIDE_ID_COLUMNS).agg(*cols))
