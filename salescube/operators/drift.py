@@ -42,10 +42,17 @@ def to_long(df: DataFrame, features: list[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def quantile_levels(bins: int = PSI_BINS) -> list[float]:
+    """Evenly spaced levels 0..1 computed as i * (1 / bins) with the last set to 1,
+    bit-identical to numpy's linspace (e.g. level 3 of 10 is 0.30000000000000004)."""
+    step = 1.0 / bins
+    return [i * step for i in range(bins)] + [1.0]
+
+
 def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
                     accuracy: int = 100000) -> DataFrame:
     """feature, edges (deduplicated sorted quantile edges), n_ref."""
-    qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
+    qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
     if method == "exact":
         q = F.percentile("value", qs)
     elif method == "approx":
@@ -56,38 +63,62 @@ def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "ex
                                            F.count(F.lit(1)).alias("n_ref"))
 
 
-def bin_index(value: Column, edges: Column) -> Column:
-    """Index of the histogram bin holding `value` with outer edges at ±inf."""
-    inner = F.slice(edges, 2, F.size(edges) - 2)
-    return F.size(F.filter(inner, lambda e: e <= value))
-
+def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
+    """Index of the histogram bin holding `value` with outer edges at ±inf:
+    the number of inner edges <= value.
 
-def psi_long(ref_long: DataFrame, cur_long: DataFrame, bins: int = PSI_BINS,
-             method: str = "exact") -> DataFrame:
-    """PSI per feature from long samples: feature, psi. Features absent from the
-    reference sample are not reported; empty current side or < 3 edges -> 0.0."""
-    edges = reference_edges(ref_long, bins, method)
-    e = edges.select("feature", "edges")
-
-    def binned(long: DataFrame, name: str) -> DataFrame:
-        return (long.join(e, "feature")
-                .select("feature", bin_index(F.col("value"), F.col("edges")).alias("bin"))
-                .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name)))
-
-    cur_n = cur_long.groupBy("feature").agg(F.count(F.lit(1)).alias("n_cur"))
+    There are at most bins - 1 inner edges (0-based positions 1..size-2), so
+    the count is unrolled into a fixed sum of comparisons, which stays inside
+    whole-stage codegen (a lambda over the array would not).
+    """
+    n_inner = F.size(edges) - 2
+    terms = [F.when((F.lit(k) <= n_inner) & (F.get(edges, k) <= value), 1).otherwise(0)
+             for k in range(1, bins)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total
+
+
+def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact") -> DataFrame:
+    """PSI per feature from one long table ``(feature, side, value)`` where side is
+    'ref' or 'cur': feature, psi.
+
+    One pass for the reference edges, one pass for the bin counts of BOTH
+    sides (a single grouped aggregate keyed by feature, side, bin). Features
+    absent from the reference side are not reported; an empty current side or
+    fewer than 3 distinct edges gives 0.0.
+    """
+    edges = reference_edges(long.filter(F.col("side") == "ref"), bins, method)
+    # Broadcast with a proven bound: one row per feature column, <= bins+1
+    # numbers each. A shuffle join on `feature` would instead send every row
+    # of a feature to a single task.
+    counts = (long.join(F.broadcast(edges.select("feature", "edges")), "feature")
+              .select("feature", "side", bin_index(F.col("value"), F.col("edges"), bins).alias("bin"))
+              .groupBy("feature", "bin")
+              .agg(F.count_if(F.col("side") == "ref").alias("ref_c"),
+                   F.count_if(F.col("side") == "cur").alias("cur_c")))
+    n_cur = counts.groupBy("feature").agg(F.sum("cur_c").alias("n_cur"))
     grid = edges.filter(F.size("edges") >= 3).select(
         "feature", "n_ref", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     ref_pct = F.coalesce(F.col("ref_c"), F.lit(0)) / F.col("n_ref") + PSI_EPSILON
     cur_pct = F.coalesce(F.col("cur_c"), F.lit(0)) / F.col("n_cur") + PSI_EPSILON
-    per_bin = (grid.join(cur_n, "feature")
-               .join(binned(ref_long, "ref_c"), ["feature", "bin"], "left")
-               .join(binned(cur_long, "cur_c"), ["feature", "bin"], "left")
+    per_bin = (grid.join(n_cur.filter(F.col("n_cur") > 0), "feature")
+               .join(counts, ["feature", "bin"], "left")
                .select("feature", ((cur_pct - ref_pct) * F.log(cur_pct / ref_pct)).alias("term")))
     psi = per_bin.groupBy("feature").agg(F.sum("term").alias("psi"))
     return (edges.select("feature").join(psi, "feature", "left")
             .select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi")))
 
 
+def psi_long(ref_long: DataFrame, cur_long: DataFrame, bins: int = PSI_BINS,
+             method: str = "exact") -> DataFrame:
+    """PSI per feature from two long samples (feature, value)."""
+    both = (ref_long.select("feature", F.lit("ref").alias("side"), "value")
+            .unionByName(cur_long.select("feature", F.lit("cur").alias("side"), "value")))
+    return psi_sides(both, bins, method)
+
+
 def check_feature_drift(reference: DataFrame, current: DataFrame, feature_cols: list[str],
                         bins: int = PSI_BINS, threshold: float = PSI_THRESHOLD,
                         method: str = "exact") -> DataFrame:
@@ -96,9 +127,26 @@ def check_feature_drift(reference: DataFrame, current: DataFrame, feature_cols:
     A feature whose reference sample is empty still gets a row with PSI 0.
     """
     feats = numeric_features(reference, feature_cols)
-    spark = reference.sparkSession
-    names = spark.createDataFrame([(f,) for f in feats], "feature string")
     psi = psi_long(to_long(reference, feats), to_long(current, feats), bins, method)
+    return _flag(reference, feats, psi, threshold)
+
+
+def check_feature_drift_split(df: DataFrame, is_reference: Column, is_current: Column,
+                              feature_cols: list[str], bins: int = PSI_BINS,
+                              threshold: float = PSI_THRESHOLD, method: str = "exact") -> DataFrame:
+    """Same as ``check_feature_drift`` for two row subsets of ONE frame: the
+    features are unpivoted once with a side tag instead of once per side."""
+    feats = numeric_features(df, feature_cols)
+    side = F.when(is_reference, F.lit("ref")).when(is_current, F.lit("cur"))
+    tagged = df.select(side.alias("side"), *[F.col(c).cast("double").alias(c) for c in feats]) \
+        .filter(F.col("side").isNotNull())
+    long = (tagged.unpivot(["side"], feats, "feature", "value")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+    return _flag(df, feats, psi_sides(long, bins, method), threshold)
+
+
+def _flag(df: DataFrame, feats: list[str], psi: DataFrame, threshold: float) -> DataFrame:
+    names = df.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
     out = names.join(psi, "feature", "left").select(
         "feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
     return out.withColumn("drifted", F.col("psi") > F.lit(threshold))
