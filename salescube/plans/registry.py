@@ -6,10 +6,7 @@ from __future__ import annotations
 def _load():
     # Importing registers the queries of each catalog module.
     from salescube.plans import catalog  # noqa: F401
-    try:
-        from salescube.plans import catalog_jobs  # noqa: F401
-    except ImportError:  # pragma: no cover - optional while being built
-        pass
+    from salescube.plans import catalog_io, catalog_jobs  # noqa: F401
     return catalog.REGISTRY
 
 
