@@ -179,3 +179,57 @@ def series_forecast(spark, sf_dir):
     from salescube.plans.catalog import POINT_ITEM, POINT_STORE
     s = batch_scores(spark, sf_dir)
     return s.filter((F.col("store_id") == POINT_STORE) & (F.col("item_id") == POINT_ITEM))
+
+
+# --------------------------------------------------------------------------- CSV edge, daily catch-up
+
+@register("csv_roundtrip", q("SELECT * FROM raw_sales_history"))
+def csv_roundtrip(spark, sf_dir):
+    """I3 + I1 + I17: long history written as month-partitioned CSV, append-loaded
+    with a declared schema (no inference) into a raw Parquet table."""
+    from salescube.schemas import SALES_HISTORY
+    raw = layers(spark, sf_dir).raw.sales_history
+    csv_path, table_path = scratch(spark, "history_csv"), scratch(spark, "raw_sales_history")
+    io.write_long_history(raw, csv_path, fmt="csv")
+    io.append_csv_to_table(spark, csv_path, SALES_HISTORY, table_path)
+    return spark.read.parquet(table_path)
+
+
+CATCH_UP_DAYS = 14
+
+
+def _catch_up_block_sql(name: str, src: str, offset: str) -> str:
+    return f""",
+{name}_tail AS (
+  SELECT store_id, item_id, CAST(sales AS DOUBLE) AS x,
+    ROW_NUMBER() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS rd FROM {src}),
+{name} AS (
+  SELECT CAST(l.d + {offset} + CAST(k.k AS INTEGER) AS DATE) AS date, t.store_id, t.item_id,
+    CAST(round_even(GREATEST(COALESCE(
+      AVG(CASE WHEN ((-t.rd) % 7 + 7) % 7 + 1 = k.k AND (t.rd + k.k - 1) / 7 BETWEEN 1 AND 8 THEN t.x END),
+      AVG(CASE WHEN t.rd <= 7 THEN t.x END), 0.0), 0.0), 0) AS BIGINT) AS sales
+  FROM {name}_tail t, (SELECT UNNEST(range(1, 8)) AS k) k, ch_last l
+  WHERE t.rd <= 62 GROUP BY 1, 2, 3)"""
+
+
+@register("daily_catch_up", q(""",
+ch_hist AS (
+  SELECT date, store_id, item_id, sales, sell_price FROM fct_sales
+  WHERE date <= (SELECT MAX(date) FROM stg_sales_history)),
+ch_last AS (SELECT MAX(date) AS d FROM ch_hist)""" + _catch_up_block_sql("b1", "ch_hist", "0") + """,
+b2_src AS (SELECT date, store_id, item_id, sales FROM ch_hist UNION ALL SELECT date, store_id, item_id, sales FROM b1)"""
+    + _catch_up_block_sql("b2", "b2_src", "7") + """
+SELECT b.date, b.store_id, b.item_id, b.sales, p.sell_price
+FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) b
+LEFT JOIN (SELECT store_id, item_id, arg_max(sell_price, date) AS sell_price FROM ch_hist
+           WHERE sell_price IS NOT NULL GROUP BY store_id, item_id) p
+  ON b.store_id = p.store_id AND b.item_id = p.item_id"""))
+def daily_catch_up(spark, sf_dir):
+    """I11 + I12 + W9 + H4 + U2: the daily ingest over a 14-day gap. The history
+    is the fact up to the end of the frozen history; each generated week feeds
+    the next; prices carry forward."""
+    from salescube.operators import baselines
+    L = layers(spark, sf_dir)
+    end = L.stg_sales_history.agg(F.max("date")).scalar()
+    hist = L.fct_sales.filter(F.col("date") <= end).select("date", "store_id", "item_id", "sales", "sell_price")
+    return baselines.catch_up(hist, CATCH_UP_DAYS)

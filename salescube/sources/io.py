@@ -19,13 +19,16 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
 
 def append_csv_to_table(spark: SparkSession, csv_path: str, schema: T.StructType, table_path: str) -> None:
     """Append-load a CSV into a raw Parquet table."""
-    load_csv(spark, csv_path, schema).write.mode("append").parquet(table_path)
+    df = load_csv(spark, csv_path, schema)
+    df.select(*schema.fieldNames()).write.mode("append").parquet(table_path)
 
 
 def write_long_history(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Long history output, partitioned by month of `date`."""
-    (df.withColumn("month_start", F.trunc("date", "month"))
-     .write.mode("overwrite").partitionBy("month_start").format(fmt).save(path))
+    w = df.withColumn("month_start", F.trunc("date", "month")).write.mode("overwrite")
+    if fmt == "csv":
+        w = w.option("header", True)
+    w.partitionBy("month_start").format(fmt).save(path)
 
 
 def append(df: DataFrame, path: str) -> None:
