@@ -36,17 +36,20 @@ class TrainResult:
     valid: DataFrame
 
 
-def _pipeline(numeric: list[str], categorical: list[str], weight_col: str | None, max_iter: int,
-              seed: int) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
+def _stages(numeric: list[str], categorical: list[str], weight_col: str | None, max_iter: int,
+            seed: int):
+    # One indexer over all categorical columns: a single pass to fit.
+    idx = (StringIndexer(inputCols=categorical, outputCols=[f"{c}_idx" for c in categorical],
+                         handleInvalid="keep") if categorical else None)
     asm = VectorAssembler(inputCols=numeric + [f"{c}_idx" for c in categorical],
                           outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="sales", predictionCol="prediction",
                        maxIter=max_iter, stepSize=0.05 if max_iter >= 200 else 0.1, maxDepth=6,
-                       minInstancesPerNode=20, maxBins=256, seed=seed, lossType="squared")
+                       minInstancesPerNode=20, maxBins=256, seed=seed, lossType="squared",
+                       validationIndicatorCol="is_valid", validationTol=0.0)
     if weight_col:
         gbt.setWeightCol(weight_col)
-    return Pipeline(stages=[*idx, asm, gbt])
+    return idx, asm, gbt
 
 
 def best_iteration(curve: list[float], patience: int = PATIENCE) -> int:
@@ -62,24 +65,39 @@ def best_iteration(curve: list[float], patience: int = PATIENCE) -> int:
 
 
 def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: str | None = None,
-          max_iter: int = 30, seed: int = 7) -> TrainResult:
-    """W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3)."""
+          max_iter: int = 30, seed: int = 7, keep=None) -> TrainResult:
+    """W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3).
+
+    `keep(name, build)` stores the featured train / valid sets (e.g.
+    ``Layers._keep``): the indexer fit, the boosting passes and the
+    evaluation then read Parquet instead of re-running the feature window.
+    """
+    keep = keep or (lambda name, build: build())
     featured = features.build_features(history)
     feats, categorical = features.feature_columns(featured)
     numeric = [c for c in feats if c not in categorical]
     tr, va = baselines.time_split(featured, valid_days)
-    tr, va = tr.dropna(subset=feats), va.dropna(subset=feats)
+    tr = keep("train_set", lambda: tr.dropna(subset=feats))
+    va = keep("valid_set", lambda: va.dropna(subset=feats))
     weight_col = None
     if weight_dampening is not None:
         total = F.sum(F.col("sales").cast("double")).over(Window.partitionBy(*ID_COLUMNS))
         tr = tr.withColumn("weight", metrics.dampen(total, weight_dampening))
+        va = va.withColumn("weight", F.lit(1.0))   # validation metric stays unweighted
         weight_col = "weight"
     tr = tr.withColumn("sales", F.col("sales").cast("double"))
-    model = _pipeline(numeric, categorical, weight_col, max_iter, seed).fit(tr)
-    gbt: GBTRegressionModel = model.stages[-1]
-    prepared = PipelineModel(stages=model.stages[:-1]).transform(
-        va.withColumn("sales", F.col("sales").cast("double")))
-    curve = gbt.evaluateEachIteration(prepared, "squared")
+    va = va.withColumn("sales", F.col("sales").cast("double"))
+    idx, asm, gbt = _stages(numeric, categorical, weight_col, max_iter, seed)
+    # M1: categories are fixed on the training rows only.
+    idx_model = idx.fit(tr) if idx is not None else None
+    prep = [s for s in (idx_model, asm) if s is not None]
+    both = (tr.withColumn("is_valid", F.lit(False))
+            .unionByName(va.withColumn("is_valid", F.lit(True))))
+    # MLlib's own early stopping on the flagged validation rows keeps only the
+    # trees that still improved the validation error.
+    gbt_model: GBTRegressionModel = gbt.fit(PipelineModel(stages=prep).transform(both))
+    model = PipelineModel(stages=[*prep, gbt_model])
+    curve = gbt_model.evaluateEachIteration(PipelineModel(stages=prep).transform(va), "squared")
     best = best_iteration(curve)
     scored = score(model, va)
     return TrainResult(model, feats, best, scored, tr, va)

@@ -123,7 +123,7 @@ def trained(spark, sf_dir):
         L = layers(spark, sf_dir)
         end = L.last_date
         extract = L.fct_sales.filter(F.col("date").between(F.date_sub(end, TRAINING_LOOKBACK_DAYS), end))
-        res = mdl.train(extract.select(*RAW_SOURCE_COLUMNS), max_iter=MAX_ITER)
+        res = mdl.train(extract.select(*RAW_SOURCE_COLUMNS), max_iter=MAX_ITER, keep=L._keep)
         path = scratch(spark, "model")
         mdl.save(res.model, path)
         metrics_row = L._keep("train_metrics", lambda: mdl.training_metrics(res))
