@@ -50,8 +50,8 @@ def quantile_levels(bins: int = PSI_BINS) -> list[float]:
 
 
 def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
-                    accuracy: int = 100000) -> DataFrame:
-    """feature, edges (deduplicated sorted quantile edges), n_ref."""
+                    keys=("feature",), accuracy: int = 100000) -> DataFrame:
+    """*keys, edges (deduplicated sorted quantile edges), n_ref."""
     qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
     if method == "exact":
         q = F.percentile("value", qs)
@@ -59,8 +59,8 @@ def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "ex
         q = F.percentile_approx("value", qs, accuracy)
     else:
         raise ValueError(f"unknown quantile method {method!r}")
-    return ref_long.groupBy("feature").agg(F.array_distinct(F.array_sort(q)).alias("edges"),
-                                           F.count(F.lit(1)).alias("n_ref"))
+    return ref_long.groupBy(*keys).agg(F.array_distinct(F.array_sort(q)).alias("edges"),
+                                       F.count(F.lit(1)).alias("n_ref"))
 
 
 def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
@@ -80,35 +80,37 @@ def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
     return total
 
 
-def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact") -> DataFrame:
-    """PSI per feature from one long table ``(feature, side, value)`` where side is
-    'ref' or 'cur': feature, psi.
+def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
+              keys: tuple[str, ...] = ("feature",)) -> DataFrame:
+    """PSI per `keys` group from one long table ``(*keys, side, value)`` where side
+    is 'ref' or 'cur': *keys, psi.
 
     One pass for the reference edges, one pass for the bin counts of BOTH
-    sides (a single grouped aggregate keyed by feature, side, bin). Features
-    absent from the reference side are not reported; an empty current side or
-    fewer than 3 distinct edges gives 0.0.
+    sides (a single grouped aggregate keyed by keys + bin). Groups absent from
+    the reference side are not reported; an empty current side or fewer than
+    3 distinct edges gives 0.0.
     """
-    edges = reference_edges(long.filter(F.col("side") == "ref"), bins, method)
-    # Broadcast with a proven bound: one row per feature column, <= bins+1
-    # numbers each. A shuffle join on `feature` would instead send every row
-    # of a feature to a single task.
-    counts = (long.join(F.broadcast(edges.select("feature", "edges")), "feature")
-              .select("feature", "side", bin_index(F.col("value"), F.col("edges"), bins).alias("bin"))
-              .groupBy("feature", "bin")
+    k = list(keys)
+    edges = reference_edges(long.filter(F.col("side") == "ref"), bins, method, k)
+    # Broadcast with a proven bound: one row per (key group), <= bins+1
+    # numbers each. A shuffle join on the feature key would instead send
+    # every row of a feature to a single task.
+    counts = (long.join(F.broadcast(edges.select(*k, "edges")), k)
+              .select(*k, "side", bin_index(F.col("value"), F.col("edges"), bins).alias("bin"))
+              .groupBy(*k, "bin")
               .agg(F.count_if(F.col("side") == "ref").alias("ref_c"),
                    F.count_if(F.col("side") == "cur").alias("cur_c")))
-    n_cur = counts.groupBy("feature").agg(F.sum("cur_c").alias("n_cur"))
+    n_cur = counts.groupBy(*k).agg(F.sum("cur_c").alias("n_cur"))
     grid = edges.filter(F.size("edges") >= 3).select(
-        "feature", "n_ref", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
+        *k, "n_ref", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     ref_pct = F.coalesce(F.col("ref_c"), F.lit(0)) / F.col("n_ref") + PSI_EPSILON
     cur_pct = F.coalesce(F.col("cur_c"), F.lit(0)) / F.col("n_cur") + PSI_EPSILON
-    per_bin = (grid.join(n_cur.filter(F.col("n_cur") > 0), "feature")
-               .join(counts, ["feature", "bin"], "left")
-               .select("feature", ((cur_pct - ref_pct) * F.log(cur_pct / ref_pct)).alias("term")))
-    psi = per_bin.groupBy("feature").agg(F.sum("term").alias("psi"))
-    return (edges.select("feature").join(psi, "feature", "left")
-            .select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi")))
+    per_bin = (grid.join(n_cur.filter(F.col("n_cur") > 0), k)
+               .join(counts, [*k, "bin"], "left")
+               .select(*k, ((cur_pct - ref_pct) * F.log(cur_pct / ref_pct)).alias("term")))
+    psi = per_bin.groupBy(*k).agg(F.sum("term").alias("psi"))
+    return (edges.select(*k).join(psi, k, "left")
+            .select(*k, F.coalesce("psi", F.lit(0.0)).alias("psi")))
 
 
 def psi_long(ref_long: DataFrame, cur_long: DataFrame, bins: int = PSI_BINS,
@@ -145,6 +147,34 @@ def check_feature_drift_split(df: DataFrame, is_reference: Column, is_current: C
     return _flag(df, feats, psi_sides(long, bins, method), threshold)
 
 
+def check_feature_drift_batches(df: DataFrame, batches: dict, feature_cols: list[str],
+                                bins: int = PSI_BINS, threshold: float = PSI_THRESHOLD,
+                                method: str = "exact") -> DataFrame:
+    """Several drift checks over row subsets of ONE frame in a single pass:
+    ``batches = {name: (is_reference, is_current)}`` -> batch, feature, psi, drifted.
+
+    Each row is tagged with the (batch, side) pairs it belongs to (at most one
+    per batch, so the explode is bounded by the batch count), unpivoted once,
+    and the PSI groups by (batch, feature).
+    """
+    feats = numeric_features(df, feature_cols)
+    tags = [F.when(r, F.struct(F.lit(b).alias("batch"), F.lit("ref").alias("side")))
+            .when(c, F.struct(F.lit(b).alias("batch"), F.lit("cur").alias("side")))
+            for b, (r, c) in batches.items()]
+    tagged = (df.select(F.explode(F.array(*tags)).alias("t"),
+                        *[F.col(c).cast("double").alias(c) for c in feats])
+              .filter(F.col("t").isNotNull())
+              .select("t.batch", "t.side", *feats))
+    long = (tagged.unpivot(["batch", "side"], feats, "feature", "value")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+    psi = psi_sides(long, bins, method, keys=("batch", "feature"))
+    names = df.sparkSession.createDataFrame([(b, f) for b in batches for f in feats],
+                                            "batch string, feature string")
+    out = names.join(psi, ["batch", "feature"], "left").select(
+        "batch", "feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
+    return out.withColumn("drifted", F.col("psi") > F.lit(threshold))
+
+
 def _flag(df: DataFrame, feats: list[str], psi: DataFrame, threshold: float) -> DataFrame:
     names = df.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
     out = names.join(psi, "feature", "left").select(

@@ -51,10 +51,10 @@ def drift_batches(spark, sf_dir) -> DataFrame:
     feat = drift_features(spark, sf_dir)
     hi, mid, q1 = _day_marks(L.fct_sales)
     d = F.col("date")
-    old = drift.check_feature_drift_split(feat, d <= q1, (d > q1) & (d <= mid), DRIFT_FEATURES)
-    new = drift.check_feature_drift_split(feat, d <= mid, d > mid, DRIFT_FEATURES)
-    return (old.withColumn("checked_at", mid.cast("timestamp_ntz"))
-            .unionByName(new.withColumn("checked_at", hi.cast("timestamp_ntz"))))
+    res = drift.check_feature_drift_batches(
+        feat, {"old": (d <= q1, (d > q1) & (d <= mid)), "new": (d <= mid, d > mid)}, DRIFT_FEATURES)
+    checked = F.when(F.col("batch") == "old", mid).otherwise(hi).cast("timestamp_ntz")
+    return res.select("feature", "psi", "drifted", checked.alias("checked_at"))
 
 
 def model_monitoring(spark, sf_dir) -> DataFrame:

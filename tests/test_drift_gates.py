@@ -84,3 +84,18 @@ def test_latest_batch_and_run(spark):
                                 "feature string, psi double, drifted boolean, checked_at timestamp")
     assert drift.latest_batch(mon).count() == 2
     assert drift.latest_run(runs(spark, 0.7)).first()["wrmsse"] == 0.7
+
+
+def test_batched_drift_equals_single(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(zip(rng.poisson(3, 900), rng.normal(0, 1, 900)))]
+    df = spark.createDataFrame(rows, "t long, a double, b double")
+    t = F.col("t")
+    batched = drift.check_feature_drift_batches(
+        df, {"early": (t < 300, (t >= 300) & (t < 600)), "late": (t < 600, t >= 600)}, ["a", "b"])
+    got = {(r["batch"], r["feature"]): r["psi"] for r in batched.collect()}
+    for name, (r, c) in {"early": (t < 300, (t >= 300) & (t < 600)), "late": (t < 600, t >= 600)}.items():
+        single = drift.check_feature_drift(df.filter(r), df.filter(c), ["a", "b"]).collect()
+        for row in single:
+            assert got[(name, row["feature"])] == pytest.approx(row["psi"], rel=1e-12, abs=1e-15)
