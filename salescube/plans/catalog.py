@@ -103,7 +103,7 @@ def extract_range(spark, sf_dir):
     """I4 + I14: fixed column list over [end - 730, end], end = latest fact date."""
     L = layers(spark, sf_dir)
     end = L.last_date
-    df = L.fct_sales.filter(F.col("date").between(F.date_sub(end, 730), end))
+    df = L.fct_window(F.date_sub(end, 730), end)
     return df.select(*[c for c in RAW_SOURCE_COLUMNS if c != "sell_price"], "sell_price")
 
 
@@ -113,7 +113,7 @@ FROM fct_sales, fct_last WHERE date >= last_date - 90"""))
 def recent_history(spark, sf_dir):
     """Trailing 90-day window of the five ingest columns, as_of = latest date."""
     L = layers(spark, sf_dir)
-    return (L.fct_sales.filter(F.col("date") >= F.date_sub(L.last_date, 90))
+    return (L.fct_window(F.date_sub(L.last_date, 90))
             .select("date", "store_id", "item_id", "sales", "sell_price"))
 
 

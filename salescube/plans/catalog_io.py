@@ -122,7 +122,7 @@ def trained(spark, sf_dir):
     if key not in _TRAINED:
         L = layers(spark, sf_dir)
         end = L.last_date
-        extract = L.fct_sales.filter(F.col("date").between(F.date_sub(end, TRAINING_LOOKBACK_DAYS), end))
+        extract = L.fct_window(F.date_sub(end, TRAINING_LOOKBACK_DAYS), end)
         res = mdl.train(extract.select(*RAW_SOURCE_COLUMNS), max_iter=MAX_ITER, keep=L._keep)
         path = scratch(spark, "model")
         mdl.save(res.model, path)
@@ -142,7 +142,7 @@ def train_metrics(spark, sf_dir):
 def batch_scores(spark, sf_dir):
     """M4: one-step-ahead forecast of every series from the trailing 60 days."""
     L = layers(spark, sf_dir)
-    hist = L.fct_sales.filter(F.col("date") >= F.date_sub(L.last_date, 60)).select(*RAW_SOURCE_COLUMNS)
+    hist = L.fct_window(F.date_sub(L.last_date, 60)).select(*RAW_SOURCE_COLUMNS)
     return mdl.predict_next_day(hist, trained(spark, sf_dir)[0])
 
 

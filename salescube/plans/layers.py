@@ -31,8 +31,8 @@ class Layers:
         self.wh = Warehouse(spark, ns) if stored else None
         self.raw = DriverTables(spark, sf_dir, store=self.wh, **mapping_kw)
 
-    def _keep(self, name: str, build) -> DataFrame:
-        return self.wh.table(name, build) if self.wh is not None else build()
+    def _keep(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
+        return self.wh.table(name, build, partition_by) if self.wh is not None else build()
 
     # ---- staging (views) ----------------------------------------------------
     @cached_property
@@ -97,7 +97,23 @@ class Layers:
 
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return self._keep("fct_sales", self.build_fct_sales)
+        """Stored fact, partitioned by month: trailing-window reads prune folders
+        (see ``fct_window``). Rows are range-partitioned by date before the write,
+        so each task covers a contiguous date range: few files per month, and no
+        task ever holds a whole month."""
+        def build():
+            return (self.build_fct_sales().withColumn("month_start", F.trunc("date", "month"))
+                    .repartitionByRange("date", "store_id", "item_id"))
+        return self._keep("fct_sales", build, partition_by=["month_start"])
+
+    def fct_window(self, lo, hi=None) -> DataFrame:
+        """Fact rows with lo <= date [<= hi]; the matching month bound prunes
+        partitions at runtime even when lo / hi are scalar subqueries."""
+        df = self.fct_sales
+        cond = (F.col("date") >= lo) & (F.col("month_start") >= F.trunc(lo, "month"))
+        if hi is not None:
+            cond = cond & (F.col("date") <= hi) & (F.col("month_start") <= F.trunc(hi, "month"))
+        return df.filter(cond)
 
     @property
     def last_date(self):
