@@ -107,17 +107,26 @@ class DriverTables:
                         F.col("l_quantity").alias("quantity"),
                         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")))
 
+    @cached_property
+    def grain_facts(self) -> DataFrame:
+        """The ONE pass over the line table: per (date, store, item) the summed
+        quantity and the minimum unit price (partial aggregation map-side).
+        Sales, weekly prices, the series list and the day bounds all derive
+        from this table; a min of daily mins is the weekly min."""
+        return self._keep("grain_facts", self.line_facts.groupBy(*GRAIN).agg(
+            F.sum("quantity").cast("long").alias("sales"),
+            F.min("unit_price").alias("min_unit_price")))
+
     @cached_property
     def sales_base(self) -> DataFrame:
-        """One row per (date, store, item) with sales; partial aggregation runs map-side."""
-        return (self.line_facts.groupBy(*GRAIN)
-                .agg(F.sum("quantity").cast("long").alias("sales")))
+        """One row per (date, store, item) with sales."""
+        return self.grain_facts.select(*GRAIN, "sales")
 
     # -- global bounds (scalar subqueries) ------------------------------------
     def _day_source(self) -> DataFrame:
-        # Once the panel is stored, its date column is the cheaper source.
-        if self.store is not None and "panel" in self.__dict__:
-            return self.panel.select("date")
+        # Once the grain table is stored, its date column is the cheaper source.
+        if self.store is not None:
+            return self.grain_facts.select("date")
         return self.read("lineitem", "l_shipdate").select(F.col("l_shipdate").cast("date").alias("date"))
 
     @property
@@ -199,9 +208,9 @@ class DriverTables:
     @cached_property
     def sell_prices(self) -> DataFrame:
         week = (F.lit(WEEK_BASE) + F.floor(self.day_number(F.col("date")) / 7)).cast("int")
-        return self._keep("sell_prices", self.line_facts.withColumn("wm_yr_wk", week)
+        return self._keep("sell_prices", self.grain_facts.withColumn("wm_yr_wk", week)
                           .groupBy("store_id", "item_id", "wm_yr_wk")
-                          .agg(F.min("unit_price").alias("sell_price")))
+                          .agg(F.min("min_unit_price").alias("sell_price")))
 
     @cached_property
     def sales_wide(self) -> DataFrame:
