@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from salescube.operators import baselines, drift, features, metrics
 from salescube.plans.catalog import layers, r6, register
-from salescube.plans.oracle import q
+from salescube.plans.oracle import features_sql, q
 from salescube.schemas import (BASE_NUMERIC_FEATURES, GRAIN, OPTIONAL_NUMERIC_FEATURES, PSI_THRESHOLD,
                                VALID_DAYS)
 
@@ -235,3 +235,42 @@ def retrain_decision(spark, sf_dir):
     dec = drift.retrain_decision(drift.latest_batch(model_monitoring(spark, sf_dir)),
                                  model_runs(spark, sf_dir))
     return dec.select("n_drifted", "drift_trigger", *r6("latest_wrmsse"), "metric_trigger", "retrain")
+
+
+# --------------------------------------------------------------------------- reference-window drift
+
+REFERENCE_DAYS, CURRENT_DAYS = 365, 30
+
+
+def _unpivot_sql(src: str, side: str) -> str:
+    cols = ", ".join(f"ROUND(CAST({c} AS DOUBLE), 9) AS {c}" for c in DRIFT_FEATURES)
+    return (f"SELECT '{side}' AS side, feature, value FROM "
+            f"(UNPIVOT (SELECT {cols} FROM {src}) ON {FEATS} INTO NAME feature VALUE value)")
+
+
+@register("psi_drift_reference_windows", q(f""",
+dr_bounds AS (SELECT last_date AS today, last_date - {CURRENT_DAYS} AS cs,
+                     last_date - {CURRENT_DAYS} - {REFERENCE_DAYS} AS rs FROM fct_last),
+dr_ref_src AS (SELECT f.* FROM fct_sales f, dr_bounds b WHERE f.date BETWEEN b.rs AND b.cs),
+dr_cur_src AS (SELECT f.* FROM fct_sales f, dr_bounds b WHERE f.date BETWEEN b.cs AND b.today),
+""" + features_sql("dr_ref_src", "dr_ref") + features_sql("dr_cur_src", "dr_cur") + f"""
+feat_long AS ({_unpivot_sql("dr_ref", "ref")} UNION ALL {_unpivot_sql("dr_cur", "cur")}),
+marks AS (SELECT 1 AS one)""" + psi_cte("rw", "side = 'ref'", "side = 'cur'") + f"""
+SELECT feature, ROUND(psi, 6) AS psi, psi > {PSI_THRESHOLD} AS drifted FROM psi_rw"""))
+def psi_drift_reference_windows(spark, sf_dir):
+    """I6 + A12 with the application's own windows: reference = [today-395, today-30]
+    and current = [today-30, today], both inclusive (one shared day), features
+    rebuilt inside each window (so lag 28 is mostly NULL on the current side)."""
+    from salescube.schemas import RAW_SOURCE_COLUMNS
+    L = layers(spark, sf_dir)
+    today = L.last_date
+    cs = F.date_sub(today, CURRENT_DAYS)
+    rs = F.date_sub(cs, REFERENCE_DAYS)
+
+    def feats(lo, hi):
+        f = features.build_features(L.fct_window(lo, hi).select(*RAW_SOURCE_COLUMNS))
+        return f.select(*[F.round(F.col(c).cast("double"), DRIFT_DECIMALS).alias(c)
+                          for c in DRIFT_FEATURES if c in f.columns])
+
+    res = drift.check_feature_drift(feats(rs, cs), feats(cs, today), DRIFT_FEATURES)
+    return res.select("feature", *r6("psi"), "drifted")

@@ -11,7 +11,40 @@ from __future__ import annotations
 
 from salescube.schemas import DATE_OFFSET_DAYS as OFF
 
-PRELUDE = f"""
+FEATURES_T = """{name}_w AS (
+  SELECT f.*,
+    CAST(LAG(sales, 1) OVER w AS DOUBLE) AS sales_lag_1,
+    CAST(LAG(sales, 2) OVER w AS DOUBLE) AS sales_lag_2,
+    CAST(LAG(sales, 3) OVER w AS DOUBLE) AS sales_lag_3,
+    CAST(LAG(sales, 7) OVER w AS DOUBLE) AS sales_lag_7,
+    CAST(LAG(sales, 14) OVER w AS DOUBLE) AS sales_lag_14,
+    CAST(LAG(sales, 28) OVER w AS DOUBLE) AS sales_lag_28,
+    AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_7,
+    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_std_7,
+    AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_28,
+    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_std_28,
+    ROW_NUMBER() OVER w AS rn,
+    CASE WHEN ROW_NUMBER() OVER w = 1 OR COALESCE(LAG(sales, 1) OVER w, 0) > 0
+         THEN ROW_NUMBER() OVER w END AS reset_rn
+  FROM {src} f
+  WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)),
+{name} AS (
+  SELECT date, store_id, item_id, sales, sell_price, wday, year, event_name_1,
+    COALESCE(event_type_1, 'none') AS event_type_1,
+    CAST(COALESCE(snap_flag, 0) AS INTEGER) AS snap_flag,
+    CAST(event_type_1 IS NOT NULL AS INTEGER) AS has_event,
+    sales_lag_1, sales_lag_2, sales_lag_3, sales_lag_7, sales_lag_14, sales_lag_28,
+    sales_roll_mean_7, sales_roll_std_7, sales_roll_mean_28, sales_roll_std_28,
+    CAST(rn - MAX(reset_rn) OVER (PARTITION BY store_id, item_id ORDER BY date
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS days_since_last_sale,
+    CAST(isodow(date) - 1 AS INTEGER) AS dayofweek,
+    CAST(isodow(date) - 1 IN (5, 6) AS INTEGER) AS is_weekend,
+    CAST(month(date) AS INTEGER) AS month
+  FROM {name}_w),
+"""
+
+
+PRELUDE_T = f"""
 WITH
 line_facts AS (
   SELECT CAST(l.l_shipdate AS DATE) AS date, r.r_name AS store_id, p.p_brand AS item_id,
@@ -113,37 +146,7 @@ agg_prediction_accuracy_daily AS (
   SELECT date, CAST(COUNT(*) AS BIGINT) AS n_predictions, AVG(abs_error) AS mae, AVG(pct_error) AS mape,
     SQRT(AVG(POWER(predicted_sales - actual_sales, 2))) AS rmse
   FROM fct_prediction_accuracy GROUP BY date),
-features AS (
-  SELECT f.*,
-    CAST(LAG(sales, 1) OVER w AS DOUBLE) AS sales_lag_1,
-    CAST(LAG(sales, 2) OVER w AS DOUBLE) AS sales_lag_2,
-    CAST(LAG(sales, 3) OVER w AS DOUBLE) AS sales_lag_3,
-    CAST(LAG(sales, 7) OVER w AS DOUBLE) AS sales_lag_7,
-    CAST(LAG(sales, 14) OVER w AS DOUBLE) AS sales_lag_14,
-    CAST(LAG(sales, 28) OVER w AS DOUBLE) AS sales_lag_28,
-    AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_7,
-    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_std_7,
-    AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_28,
-    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_std_28,
-    ROW_NUMBER() OVER w AS rn,
-    CASE WHEN ROW_NUMBER() OVER w = 1 OR COALESCE(LAG(sales, 1) OVER w, 0) > 0
-         THEN ROW_NUMBER() OVER w END AS reset_rn
-  FROM fct_sales f
-  WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)),
-features_full AS (
-  SELECT date, store_id, item_id, sales, sell_price, wday, year, event_name_1,
-    COALESCE(event_type_1, 'none') AS event_type_1,
-    CAST(COALESCE(snap_flag, 0) AS INTEGER) AS snap_flag,
-    CAST(event_type_1 IS NOT NULL AS INTEGER) AS has_event,
-    sales_lag_1, sales_lag_2, sales_lag_3, sales_lag_7, sales_lag_14, sales_lag_28,
-    sales_roll_mean_7, sales_roll_std_7, sales_roll_mean_28, sales_roll_std_28,
-    CAST(rn - MAX(reset_rn) OVER (PARTITION BY store_id, item_id ORDER BY date
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS days_since_last_sale,
-    CAST(isodow(date) - 1 AS INTEGER) AS dayofweek,
-    CAST(isodow(date) - 1 IN (5, 6) AS INTEGER) AS is_weekend,
-    CAST(month(date) AS INTEGER) AS month
-  FROM features),
-holdout_bounds AS (SELECT last_date - 14 AS cutoff FROM fct_last),
+@@FEATURES_FULL@@holdout_bounds AS (SELECT last_date - 14 AS cutoff FROM fct_last),
 holdout_train AS (SELECT f.* FROM fct_sales f, holdout_bounds h WHERE f.date <= h.cutoff),
 holdout_valid AS (SELECT f.* FROM fct_sales f, holdout_bounds h WHERE f.date > h.cutoff),
 model_split AS (SELECT last_date - 28 AS cutoff FROM fct_last),
@@ -152,5 +155,13 @@ model_valid AS (SELECT f.* FROM fct_sales f, model_split m WHERE f.date > m.cuto
 """
 
 
+def features_sql(src: str, name: str) -> str:
+    """CTEs `<name>_w` and `<name>`: all features (W1-W5, P5, P11, P12) over the rows of `src`."""
+    return FEATURES_T.format(src=src, name=name)
+
+
+PRELUDE = PRELUDE_T.replace("@@FEATURES_FULL@@", features_sql("fct_sales", "features_full"))
+
+
 def q(body: str) -> str:
     return PRELUDE + body
