@@ -91,15 +91,31 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
     3 distinct edges gives 0.0.
     """
     k = list(keys)
-    edges = reference_edges(long.filter(F.col("side") == "ref"), bins, method, k)
-    # Broadcast with a proven bound: one row per (key group), <= bins+1
-    # numbers each. A shuffle join on the feature key would instead send
-    # every row of a feature to a single task.
-    counts = (long.join(F.broadcast(edges.select(*k, "edges")), k)
-              .select(*k, "side", bin_index(F.col("value"), F.col("edges"), bins).alias("bin"))
-              .groupBy(*k, "bin")
-              .agg(F.count_if(F.col("side") == "ref").alias("ref_c"),
-                   F.count_if(F.col("side") == "cur").alias("cur_c")))
+    if method == "exact":
+        # One pass over the long rows: counts per distinct (keys, side, value).
+        # The shuffle is keyed by the value too, so even a feature holding a
+        # third of all rows spreads over many tasks; quantiles and bins then
+        # work on distinct values only (weighted by their counts).
+        vc = long.groupBy(*k, "side", "value").agg(F.count(F.lit(1)).alias("c"))
+        qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
+        edges = (vc.filter(F.col("side") == "ref").groupBy(*k)
+                 .agg(F.array_distinct(F.array_sort(F.percentile("value", qs, F.col("c")))).alias("edges"),
+                      F.sum("c").alias("n_ref")))
+        weight = F.col("c")
+        rows = vc
+    else:
+        edges = reference_edges(long.filter(F.col("side") == "ref"), bins, method, k)
+        weight = F.lit(1)
+        rows = long
+    # Broadcast with a proven bound: one row per key group, <= bins+1 numbers
+    # each. A shuffle join on the feature key would instead send every row of
+    # a feature to a single task.
+    binned = (rows.join(F.broadcast(edges.select(*k, "edges")), k)
+              .select(*k, "side", weight.alias("w"),
+                      bin_index(F.col("value"), F.col("edges"), bins).alias("bin")))
+    counts = binned.groupBy(*k, "bin").agg(
+        F.sum(F.when(F.col("side") == "ref", F.col("w")).otherwise(0)).alias("ref_c"),
+        F.sum(F.when(F.col("side") == "cur", F.col("w")).otherwise(0)).alias("cur_c"))
     n_cur = counts.groupBy(*k).agg(F.sum("cur_c").alias("n_cur"))
     grid = edges.filter(F.size("edges") >= 3).select(
         *k, "n_ref", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
