@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,20 +36,33 @@ class TrainResult:
     valid: DataFrame
 
 
+# Categoricals whose cardinality grows with the data: a nominal
+# index would need maxBins >= #categories, so they are target-encoded instead.
+TARGET_ENCODED = ["item_id"]
+
+
 def _stages(numeric: list[str], categorical: list[str], weight_col: str | None, max_iter: int,
             seed: int):
     # One indexer over all categorical columns: a single pass to fit.
     idx = (StringIndexer(inputCols=categorical, outputCols=[f"{c}_idx" for c in categorical],
                          handleInvalid="keep") if categorical else None)
-    asm = VectorAssembler(inputCols=numeric + [f"{c}_idx" for c in categorical],
-                          outputCol="features", handleInvalid="keep")
+    te_cols = [c for c in categorical if c in TARGET_ENCODED]
+    te = (TargetEncoder(inputCols=[f"{c}_idx" for c in te_cols], outputCols=[f"{c}_te" for c in te_cols],
+                        labelCol="sales", targetType="continuous", handleInvalid="keep", smoothing=1.0)
+          if te_cols else None)
+    # The encoder copies the index column's nominal metadata; a cast drops it so
+    # the tree treats the encoding as continuous.
+    plain = (SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST({c}_te AS DOUBLE) AS {c}_enc" for c in te_cols) + " FROM __THIS__") if te_cols else None)
+    inputs = numeric + [f"{c}_enc" if c in te_cols else f"{c}_idx" for c in categorical]
+    asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="sales", predictionCol="prediction",
                        maxIter=max_iter, stepSize=0.05 if max_iter >= 200 else 0.1, maxDepth=6,
                        minInstancesPerNode=20, maxBins=256, seed=seed, lossType="squared",
                        validationIndicatorCol="is_valid", validationTol=0.0)
     if weight_col:
         gbt.setWeightCol(weight_col)
-    return idx, asm, gbt
+    return idx, te, plain, asm, gbt
 
 
 def best_iteration(curve: list[float], patience: int = PATIENCE) -> int:
@@ -87,10 +100,11 @@ def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: st
         weight_col = "weight"
     tr = tr.withColumn("sales", F.col("sales").cast("double"))
     va = va.withColumn("sales", F.col("sales").cast("double"))
-    idx, asm, gbt = _stages(numeric, categorical, weight_col, max_iter, seed)
-    # M1: categories are fixed on the training rows only.
+    idx, te, plain, asm, gbt = _stages(numeric, categorical, weight_col, max_iter, seed)
+    # M1: categories (and target encodings) are fixed on the training rows only.
     idx_model = idx.fit(tr) if idx is not None else None
-    prep = [s for s in (idx_model, asm) if s is not None]
+    te_model = te.fit(idx_model.transform(tr)) if te is not None else None
+    prep = [s for s in (idx_model, te_model, plain, asm) if s is not None]
     both = (tr.withColumn("is_valid", F.lit(False))
             .unionByName(va.withColumn("is_valid", F.lit(True))))
     # MLlib's own early stopping on the flagged validation rows keeps only the
@@ -141,6 +155,16 @@ def publish_gate(metrics_row: DataFrame, threshold: float = WRMSSE_THRESHOLD) ->
     return metrics_row.select("wrmsse", (F.col("wrmsse") < F.lit(threshold)).alias("publish"))
 
 
+def publish(model: PipelineModel, metrics_row: DataFrame, path: str,
+            threshold: float = WRMSSE_THRESHOLD) -> bool:
+    """M7: write the model to the fixed serving path iff the gate passes.
+    Only the one-row gate decision reaches the driver."""
+    ok = bool(publish_gate(metrics_row, threshold).first()["publish"])
+    if ok:
+        save(model, path)
+    return ok
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

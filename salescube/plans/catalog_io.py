@@ -169,8 +169,12 @@ def score_rows(spark, sf_dir):
 
 @register("publish_gate", None)
 def publish_gate(spark, sf_dir):
-    """M7: publish iff validation wrmsse < 1.0."""
-    return mdl.publish_gate(trained(spark, sf_dir)[1])
+    """M7: publish iff validation wrmsse < 1.0; the model is copied to the
+    serving path only when the gate passes."""
+    model, metrics_row, _ = trained(spark, sf_dir)
+    path = scratch(spark, "published_model")
+    published = mdl.publish(model, metrics_row, path)
+    return mdl.publish_gate(metrics_row).withColumn("published", F.lit(published))
 
 
 @register("series_forecast", None)

@@ -47,3 +47,14 @@ def test_best_iteration_patience():
 def test_publish_gate_is_strict(spark):
     rows = spark.createDataFrame([(1.0,), (0.99,)], "wrmsse double")
     assert [r["publish"] for r in mdl.publish_gate(rows).collect()] == [False, True]
+
+
+def test_publish_copies_only_when_gate_passes(spark, tmp_path):
+    hist = seasonal_history(spark, n_series=3, n_days=60, seed=1)
+    res = mdl.train(hist, valid_days=7, max_iter=3)
+    good = spark.createDataFrame([(0.5,)], "wrmsse double")
+    bad = spark.createDataFrame([(1.5,)], "wrmsse double")
+    assert mdl.publish(res.model, good, str(tmp_path / "ok"))
+    assert mdl.load(str(tmp_path / "ok")) is not None
+    assert not mdl.publish(res.model, bad, str(tmp_path / "no"))
+    assert not (tmp_path / "no").exists()
