@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescube.functions import dates
-from salescube.operators import baselines, drift, features, marts, metrics, reads, staging
+from salescube.operators import baselines, features, metrics, reads, staging
 from salescube.operators.quality import quality_report
 from salescube.plans.layers import Layers
 from salescube.plans.oracle import q

@@ -158,7 +158,6 @@ def backtest_scores(spark, sf_dir):
 def score_rows(spark, sf_dir):
     """M6: score caller-supplied feature rows (the stored feature table's last day);
     only the model's own feature columns are used (P17)."""
-    from salescube.plans.catalog_jobs import drift_features  # noqa: F401  (stores "features")
     L = layers(spark, sf_dir)
     from salescube.operators import features as feat_ops
     feats = L._keep("features", lambda: feat_ops.build_features(L.fct_sales))

@@ -11,12 +11,15 @@ Tables are keyed per application so a new run never reads stale output.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salescube.session import shared_path
 
 _WRITTEN: dict[tuple, str] = {}
+_LOCKS: dict[tuple, threading.Lock] = {}
+_GUARD = threading.Lock()
 
 
 class Warehouse:
@@ -31,12 +34,15 @@ class Warehouse:
     def table(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
         """Write `build()` once (per application and namespace) and read it back."""
         key = (self.app, self.ns, name)
-        path = _WRITTEN.get(key)
-        if path is None:
-            path = self.path(name)
-            w = build().write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(path)
-            _WRITTEN[key] = path
+        with _GUARD:
+            lock = _LOCKS.setdefault(key, threading.Lock())
+        with lock:  # concurrent callers wait for one writer instead of racing
+            path = _WRITTEN.get(key)
+            if path is None:
+                path = self.path(name)
+                w = build().write.mode("overwrite")
+                if partition_by:
+                    w = w.partitionBy(*partition_by)
+                w.parquet(path)
+                _WRITTEN[key] = path
         return self.spark.read.parquet(path)
