@@ -99,3 +99,14 @@ def test_batched_drift_equals_single(spark):
         single = drift.check_feature_drift(df.filter(r), df.filter(c), ["a", "b"]).collect()
         for row in single:
             assert got[(name, row["feature"])] == pytest.approx(row["psi"], rel=1e-12, abs=1e-15)
+
+
+def test_psi_approx_close_to_exact(spark):
+    rng = np.random.default_rng(4)
+    r = spark.createDataFrame([(float(x),) for x in rng.normal(10, 2, 2000)], "x double")
+    c = spark.createDataFrame([(float(x),) for x in rng.normal(11, 2, 2000)], "x double")
+    exact = drift.check_feature_drift(r, c, ["x"]).first()["psi"]
+    approx = drift.check_feature_drift(r, c, ["x"], method="approx").first()["psi"]
+    assert approx == pytest.approx(exact, rel=0.1)
+    with pytest.raises(ValueError):
+        drift.reference_edges(r.selectExpr("'x' AS feature", "x AS value"), method="nope")
