@@ -19,7 +19,7 @@ by the feature count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,51 @@ def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "ex
                                        F.count(F.lit(1)).alias("n_ref"))
 
 
+def exact_edges(vc_ref: DataFrame, keys: list[str], bins: int = PSI_BINS) -> DataFrame:
+    """Exact decile edges from distinct reference values ``(*keys, value, c)``,
+    computed without ever holding one group in one task: *keys, edges, n_ref.
+
+    Order statistics via a distributed running count: the distinct values are
+    range-partitioned on (keys, value) (so a hot feature spans many tasks),
+    each range partition's total gives its offset (a window over a table of
+    one row per partition), and a running sum inside each range partition
+    gives every value's cumulative count. The 2·(bins+1) needed ranks per
+    group (a bounded table, broadcast) select the rows holding them; the
+    edges interpolate linearly as Spark's ``percentile`` does:
+    (higher - p)·x[lower] + (p - lower)·x[higher], p = (n - 1)·q.
+    """
+    n = vc_ref.groupBy(*keys).agg(F.sum("c").alias("n_ref"))
+    levels = quantile_levels(bins)
+    pos = [F.struct(F.lit(i).alias("i"), (F.lit(q) * (F.col("n_ref") - 1)).alias("p"))
+           for i, q in enumerate(levels)]
+    targets = (n.select(*keys, F.explode(F.array(*pos)).alias("t"))
+               .select(*keys, "t.i", "t.p",
+                       F.explode(F.array(F.floor("t.p"), F.ceil("t.p"))).alias("rank"))
+               .distinct())
+    ranged = vc_ref.repartitionByRange(*keys, "value").withColumn("pid", F.spark_partition_id())
+    part_tot = ranged.groupBy(*keys, "pid").agg(F.sum("c").alias("pc"))
+    before = Window.partitionBy(*keys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = part_tot.select(*keys, "pid", F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"))
+    upto = Window.partitionBy(*keys, "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (ranged.withColumn("cum_in", F.sum("c").over(upto))
+           # one row per range partition and key group: a bounded side
+           .join(F.broadcast(offsets), [*keys, "pid"])
+           .select(*keys, "value", "c", (F.col("off") + F.col("cum_in")).alias("cum")))
+    # Rank r (0-based) is held by the value whose cumulative interval covers it.
+    hit = (cum.join(F.broadcast(targets), keys)
+           .filter((F.col("cum") - F.col("c") <= F.col("rank")) & (F.col("rank") < F.col("cum")))
+           .select(*keys, "i", "p", "rank", "value"))
+    lo, hi = F.floor("p"), F.ceil("p")
+    per_level = hit.groupBy(*keys, "i", "p").agg(
+        F.max(F.when(F.col("rank") == lo, F.col("value"))).alias("x_lo"),
+        F.max(F.when(F.col("rank") == hi, F.col("value"))).alias("x_hi"))
+    edge = F.when((lo == hi) | (F.col("x_lo") == F.col("x_hi")), F.col("x_lo")).otherwise(
+        (hi - F.col("p")) * F.col("x_lo") + (F.col("p") - lo) * F.col("x_hi"))
+    edges = (per_level.groupBy(*keys)
+             .agg(F.array_distinct(F.array_sort(F.collect_list(edge))).alias("edges")))
+    return edges.join(n, keys)
+
+
 def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
     """Index of the histogram bin holding `value` with outer edges at ±inf:
     the number of inner edges <= value.
@@ -97,10 +142,7 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
         # third of all rows spreads over many tasks; quantiles and bins then
         # work on distinct values only (weighted by their counts).
         vc = long.groupBy(*k, "side", "value").agg(F.count(F.lit(1)).alias("c"))
-        qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
-        edges = (vc.filter(F.col("side") == "ref").groupBy(*k)
-                 .agg(F.array_distinct(F.array_sort(F.percentile("value", qs, F.col("c")))).alias("edges"),
-                      F.sum("c").alias("n_ref")))
+        edges = exact_edges(vc.filter(F.col("side") == "ref").select(*k, "value", "c"), k, bins)
         weight = F.col("c")
         rows = vc
     else:

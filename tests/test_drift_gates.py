@@ -110,3 +110,21 @@ def test_psi_approx_close_to_exact(spark):
     assert approx == pytest.approx(exact, rel=0.1)
     with pytest.raises(ValueError):
         drift.reference_edges(r.selectExpr("'x' AS feature", "x AS value"), method="nope")
+
+
+def test_distributed_exact_edges_equal_percentile(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.poisson(2, 3000), rng.normal(5, 3, 2000).round(2), np.full(500, 7.0)])
+    rows = [("f" if i % 2 else "g", float(v)) for i, v in enumerate(vals)]
+    long = spark.createDataFrame(rows, "feature string, value double").repartition(7)
+    vc = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    got = {r["feature"]: (r["edges"], r["n_ref"]) for r in drift.exact_edges(vc, ["feature"]).collect()}
+    want = {r["feature"]: (r["edges"], r["n_ref"]) for r in drift.reference_edges(long).collect()}
+    assert got.keys() == want.keys()
+    for f in got:
+        assert got[f][1] == want[f][1]
+        assert got[f][0] == pytest.approx(want[f][0], rel=0, abs=1e-12)
+        ref = np.array([v for k, v in rows if k == f])
+        edges_np = np.unique(np.quantile(ref, np.linspace(0, 1, 11)))
+        assert got[f][0] == pytest.approx(list(edges_np), rel=1e-12, abs=1e-12)
