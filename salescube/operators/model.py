@@ -1,21 +1,27 @@
 """Boosted-tree model: training, batch scoring, backtest, publish gate (M1-M9).
 
-MLlib replaces the per-process booster: ``StringIndexer(handleInvalid="keep")``
-fitted on train only (unseen categories at scoring time map to the extra
-index), ``VectorAssembler`` and ``GBTRegressor`` in one ``Pipeline``. Training
-drops rows with a null feature (as the application does); scoring keeps them
-(``handleInvalid="keep"`` on the assembler). Early stopping: the model is fit
-with ``max_iter`` trees, the validation RMSE curve comes from
-``evaluateEachIteration``, and the patience rule picks the best count.
+MLlib replaces the per-process booster. Small-vocabulary categoricals
+(store, event type) go through ``StringIndexer(handleInvalid="keep")`` fitted
+on train only, so unseen categories at scoring time map to the extra index.
+The item key, whose vocabulary grows with the data, is target-encoded with a
+*join*: smoothed per-item means of the training target are a table computed by
+a distributed ``groupBy``, stored next to the pipeline and joined onto train,
+validation and scoring rows (unseen items get the prior). No vocabulary of the
+growing key is ever held on the driver, which an indexer or MLlib's
+TargetEncoder model would do.
+
+Training drops rows with a null feature (as the application does); scoring
+keeps them (``handleInvalid="keep"`` on the assembler). Early stopping:
+MLlib's own validation stop on flagged validation rows, plus the patience
+rule applied to ``evaluateEachIteration`` for the reported best iteration.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,11 +30,20 @@ from salescube.operators import baselines, features, metrics
 from salescube.schemas import GRAIN, ID_COLUMNS, VALID_DAYS, WRMSSE_THRESHOLD
 
 PATIENCE = 20
+# Categoricals whose cardinality grows with the data.
+TARGET_ENCODED = ["item_id"]
+ENCODING_SMOOTHING = 10.0   # pseudo-count pulling rare items toward the prior
+
+
+@dataclass
+class Model:
+    pipeline: PipelineModel
+    encodings: dict[str, DataFrame] = field(default_factory=dict)  # col -> (col, enc) + prior row
 
 
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: Model
     features: list[str]
     best_iteration: int
     scored_valid: DataFrame
@@ -36,25 +51,36 @@ class TrainResult:
     valid: DataFrame
 
 
-# Categoricals whose cardinality grows with the data: a nominal
-# index would need maxBins >= #categories, so they are target-encoded instead.
-TARGET_ENCODED = ["item_id"]
-
-
-def _stages(numeric: list[str], categorical: list[str], weight_col: str | None, max_iter: int,
-            seed: int):
-    # One indexer over all categorical columns: a single pass to fit.
-    idx = (StringIndexer(inputCols=categorical, outputCols=[f"{c}_idx" for c in categorical],
-                         handleInvalid="keep") if categorical else None)
-    te_cols = [c for c in categorical if c in TARGET_ENCODED]
-    te = (TargetEncoder(inputCols=[f"{c}_idx" for c in te_cols], outputCols=[f"{c}_te" for c in te_cols],
-                        labelCol="sales", targetType="continuous", handleInvalid="keep", smoothing=1.0)
-          if te_cols else None)
-    # The encoder copies the index column's nominal metadata; a cast drops it so
-    # the tree treats the encoding as continuous.
-    plain = (SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CAST({c}_te AS DOUBLE) AS {c}_enc" for c in te_cols) + " FROM __THIS__") if te_cols else None)
-    inputs = numeric + [f"{c}_enc" if c in te_cols else f"{c}_idx" for c in categorical]
+def fit_encoding(train: DataFrame, col: str, label: str = "sales",
+                 smoothing: float = ENCODING_SMOOTHING) -> DataFrame:
+    """(col, enc): (n·mean + m·prior) / (n + m) per category, plus one row with
+    col = NULL holding the prior (the global training mean)."""
+    y = F.col(label).cast("double")
+    prior = train.agg(F.avg(y)).scalar()
+    per = train.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("m"))
+    enc = per.select(col, ((F.col("n") * F.col("m") + F.lit(smoothing) * prior)
+                           / (F.col("n") + F.lit(smoothing))).alias("enc"))
+    prior_row = train.agg(F.avg(y).alias("enc")).select(F.lit(None).cast("string").alias(col), "enc")
+    return enc.filter(F.col(col).isNotNull()).unionByName(prior_row)
+
+
+def apply_encodings(df: DataFrame, encodings: dict[str, DataFrame]) -> DataFrame:
+    """Join each encoding table on its key; unseen keys take the prior."""
+    for col, enc in encodings.items():
+        prior = enc.filter(F.col(col).isNull()).select("enc").scalar()
+        table = enc.filter(F.col(col).isNotNull()).withColumnRenamed("enc", f"{col}_enc")
+        df = (df.join(table, col, "left")
+              .withColumn(f"{col}_enc", F.coalesce(F.col(f"{col}_enc"), prior)))
+    return df
+
+
+def _stages(numeric: list[str], categorical: list[str], encoded: list[str],
+            weight_col: str | None, max_iter: int, seed: int):
+    nominal = [c for c in categorical if c not in encoded]
+    # One indexer over all small-vocabulary columns: a single pass to fit.
+    idx = (StringIndexer(inputCols=nominal, outputCols=[f"{c}_idx" for c in nominal],
+                         handleInvalid="keep") if nominal else None)
+    inputs = numeric + [f"{c}_enc" for c in encoded] + [f"{c}_idx" for c in nominal]
     asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="sales", predictionCol="prediction",
                        maxIter=max_iter, stepSize=0.05 if max_iter >= 200 else 0.1, maxDepth=6,
@@ -62,7 +88,7 @@ def _stages(numeric: list[str], categorical: list[str], weight_col: str | None,
                        validationIndicatorCol="is_valid", validationTol=0.0)
     if weight_col:
         gbt.setWeightCol(weight_col)
-    return idx, te, plain, asm, gbt
+    return idx, asm, gbt
 
 
 def best_iteration(curve: list[float], patience: int = PATIENCE) -> int:
@@ -81,45 +107,47 @@ def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: st
           max_iter: int = 30, seed: int = 7, keep=None) -> TrainResult:
     """W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3).
 
-    `keep(name, build)` stores the featured train / valid sets (e.g.
-    ``Layers._keep``): the indexer fit, the boosting passes and the
-    evaluation then read Parquet instead of re-running the feature window.
+    `keep(name, build)` stores intermediate tables (e.g. ``Layers._keep``): the
+    featured train / valid sets and the encodings, so the fits, the boosting
+    passes and the evaluation read Parquet instead of re-running windows.
     """
     keep = keep or (lambda name, build: build())
     featured = features.build_features(history)
     feats, categorical = features.feature_columns(featured)
     numeric = [c for c in feats if c not in categorical]
+    encoded = [c for c in categorical if c in TARGET_ENCODED]
     tr, va = baselines.time_split(featured, valid_days)
     tr = keep("train_set", lambda: tr.dropna(subset=feats))
     va = keep("valid_set", lambda: va.dropna(subset=feats))
+    encodings = {c: keep(f"encoding_{c}", lambda c=c: fit_encoding(tr, c)) for c in encoded}
+    tr_e, va_e = apply_encodings(tr, encodings), apply_encodings(va, encodings)
     weight_col = None
     if weight_dampening is not None:
         total = F.sum(F.col("sales").cast("double")).over(Window.partitionBy(*ID_COLUMNS))
-        tr = tr.withColumn("weight", metrics.dampen(total, weight_dampening))
-        va = va.withColumn("weight", F.lit(1.0))   # validation metric stays unweighted
+        tr_e = tr_e.withColumn("weight", metrics.dampen(total, weight_dampening))
+        va_e = va_e.withColumn("weight", F.lit(1.0))   # validation metric stays unweighted
         weight_col = "weight"
-    tr = tr.withColumn("sales", F.col("sales").cast("double"))
-    va = va.withColumn("sales", F.col("sales").cast("double"))
-    idx, te, plain, asm, gbt = _stages(numeric, categorical, weight_col, max_iter, seed)
-    # M1: categories (and target encodings) are fixed on the training rows only.
-    idx_model = idx.fit(tr) if idx is not None else None
-    te_model = te.fit(idx_model.transform(tr)) if te is not None else None
-    prep = [s for s in (idx_model, te_model, plain, asm) if s is not None]
-    both = (tr.withColumn("is_valid", F.lit(False))
-            .unionByName(va.withColumn("is_valid", F.lit(True))))
+    tr_e = tr_e.withColumn("sales", F.col("sales").cast("double"))
+    va_e = va_e.withColumn("sales", F.col("sales").cast("double"))
+    idx, asm, gbt = _stages(numeric, categorical, encoded, weight_col, max_iter, seed)
+    # M1: categories are fixed on the training rows only.
+    idx_model = idx.fit(tr_e) if idx is not None else None
+    prep = PipelineModel(stages=[s for s in (idx_model, asm) if s is not None])
+    both = (tr_e.withColumn("is_valid", F.lit(False))
+            .unionByName(va_e.withColumn("is_valid", F.lit(True))))
     # MLlib's own early stopping on the flagged validation rows keeps only the
     # trees that still improved the validation error.
-    gbt_model: GBTRegressionModel = gbt.fit(PipelineModel(stages=prep).transform(both))
-    model = PipelineModel(stages=[*prep, gbt_model])
-    curve = gbt_model.evaluateEachIteration(PipelineModel(stages=prep).transform(va), "squared")
+    gbt_model: GBTRegressionModel = gbt.fit(prep.transform(both))
+    model = Model(PipelineModel(stages=[*prep.stages, gbt_model]), encodings)
+    curve = gbt_model.evaluateEachIteration(prep.transform(va_e), "squared")
     best = best_iteration(curve)
     scored = score(model, va)
     return TrainResult(model, feats, best, scored, tr, va)
 
 
-def score(model: PipelineModel, featured: DataFrame) -> DataFrame:
+def score(model: Model, featured: DataFrame) -> DataFrame:
     """Predict, clip at 0, round half-to-even (P14): date, store_id, item_id, predicted_sales."""
-    out = model.transform(featured)
+    out = model.pipeline.transform(apply_encodings(featured, model.encodings))
     return out.select(*GRAIN, baselines.clip_round(F.col("prediction")).alias("predicted_sales"))
 
 
@@ -135,7 +163,7 @@ def training_metrics(res: TrainResult) -> DataFrame:
                      n_train.alias("n_train_rows"), n_valid.alias("n_valid_rows"))
 
 
-def predict_next_day(history: DataFrame, model: PipelineModel) -> DataFrame:
+def predict_next_day(history: DataFrame, model: Model) -> DataFrame:
     """One-step-ahead forecast of every series (M4): stub at global max+1 -> W5 -> score."""
     aug = features.next_day_stub(history)
     featured = features.build_features(aug)
@@ -143,7 +171,7 @@ def predict_next_day(history: DataFrame, model: PipelineModel) -> DataFrame:
     return score(model, featured.filter(F.col("date") == target))
 
 
-def backtest(history: DataFrame, targets: DataFrame, model: PipelineModel) -> DataFrame:
+def backtest(history: DataFrame, targets: DataFrame, model: Model) -> DataFrame:
     """Features once over the whole history, rows of the target dates, predict (M5)."""
     featured = features.build_features(history)
     rows = featured.join(targets.select("date").distinct(), "date", "left_semi")
@@ -155,7 +183,7 @@ def publish_gate(metrics_row: DataFrame, threshold: float = WRMSSE_THRESHOLD) ->
     return metrics_row.select("wrmsse", (F.col("wrmsse") < F.lit(threshold)).alias("publish"))
 
 
-def publish(model: PipelineModel, metrics_row: DataFrame, path: str,
+def publish(model: Model, metrics_row: DataFrame, path: str,
             threshold: float = WRMSSE_THRESHOLD) -> bool:
     """M7: write the model to the fixed serving path iff the gate passes.
     Only the one-row gate decision reaches the driver."""
@@ -165,13 +193,22 @@ def publish(model: PipelineModel, metrics_row: DataFrame, path: str,
     return ok
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
-def evaluator() -> RegressionEvaluator:
-    return RegressionEvaluator(labelCol="sales", predictionCol="prediction", metricName="rmse")
+def save(model: Model, path: str) -> None:
+    """Pipeline under `path/pipeline`, each encoding table as Parquet."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    for col, enc in model.encodings.items():
+        enc.write.mode("overwrite").parquet(f"{path}/encoding_{col}")
+
+
+def load(path: str, spark=None) -> Model:
+    """Inverse of ``save``; encoding tables are read back lazily as Parquet."""
+    from pyspark.sql import SparkSession
+    spark = spark or SparkSession.getActiveSession()
+    pipe = PipelineModel.load(f"{path}/pipeline")
+    enc = {}
+    for c in TARGET_ENCODED:
+        try:
+            enc[c] = spark.read.parquet(f"{path}/encoding_{c}")
+        except Exception:  # noqa: BLE001 - model trained without that column
+            pass
+    return Model(pipe, enc)
