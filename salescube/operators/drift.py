@@ -125,8 +125,14 @@ def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
     return total
 
 
+# Distinct reference values one task may hold when computing exact deciles
+# with a single grouped `percentile`; larger groups use `exact_edges`.
+LOCAL_QUANTILE_LIMIT = 200_000
+
+
 def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
-              keys: tuple[str, ...] = ("feature",)) -> DataFrame:
+              keys: tuple[str, ...] = ("feature",), local_limit: int = LOCAL_QUANTILE_LIMIT,
+              cut=None) -> DataFrame:
     """PSI per `keys` group from one long table ``(*keys, side, value)`` where side
     is 'ref' or 'cur': *keys, psi.
 
@@ -135,6 +141,8 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
     the reference side are not reported; an empty current side or fewer than
     3 distinct edges gives 0.0.
     """
+    from salescube.session import cut_lineage
+    cut = cut or cut_lineage
     k = list(keys)
     if method == "exact":
         # One pass over the long rows: counts per distinct (keys, side, value).
@@ -142,7 +150,21 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
         # third of all rows spreads over many tasks; quantiles and bins then
         # work on distinct values only (weighted by their counts).
         vc = long.groupBy(*k, "side", "value").agg(F.count(F.lit(1)).alias("c"))
-        edges = exact_edges(vc.filter(F.col("side") == "ref").select(*k, "value", "c"), k, bins)
+        if cut is not None:
+            vc = cut(vc)
+        ref_vc = vc.filter(F.col("side") == "ref").select(*k, "value", "c")
+        # Exact either way. One grouped `percentile` holds a group's distinct
+        # values in one task, so it is used only when the measured largest
+        # group is within `local_limit`; beyond it the distributed running
+        # count (exact_edges) takes over.
+        biggest = ref_vc.groupBy(*k).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= local_limit:
+            qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
+            edges = ref_vc.groupBy(*k).agg(
+                F.array_distinct(F.array_sort(F.percentile("value", qs, F.col("c")))).alias("edges"),
+                F.sum("c").alias("n_ref"))
+        else:
+            edges = exact_edges(ref_vc, k, bins)
         weight = F.col("c")
         rows = vc
     else:
@@ -172,22 +194,22 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
 
 
 def psi_long(ref_long: DataFrame, cur_long: DataFrame, bins: int = PSI_BINS,
-             method: str = "exact") -> DataFrame:
+             method: str = "exact", local_limit: int = LOCAL_QUANTILE_LIMIT) -> DataFrame:
     """PSI per feature from two long samples (feature, value)."""
     both = (ref_long.select("feature", F.lit("ref").alias("side"), "value")
             .unionByName(cur_long.select("feature", F.lit("cur").alias("side"), "value")))
-    return psi_sides(both, bins, method)
+    return psi_sides(both, bins, method, local_limit=local_limit)
 
 
 def check_feature_drift(reference: DataFrame, current: DataFrame, feature_cols: list[str],
                         bins: int = PSI_BINS, threshold: float = PSI_THRESHOLD,
-                        method: str = "exact") -> DataFrame:
+                        method: str = "exact", local_limit: int = LOCAL_QUANTILE_LIMIT) -> DataFrame:
     """feature, psi, drifted (psi > threshold) for numeric features.
 
     A feature whose reference sample is empty still gets a row with PSI 0.
     """
     feats = numeric_features(reference, feature_cols)
-    psi = psi_long(to_long(reference, feats), to_long(current, feats), bins, method)
+    psi = psi_long(to_long(reference, feats), to_long(current, feats), bins, method, local_limit)
     return _flag(reference, feats, psi, threshold)
 
 

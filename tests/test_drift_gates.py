@@ -128,3 +128,12 @@ def test_distributed_exact_edges_equal_percentile(spark):
         ref = np.array([v for k, v in rows if k == f])
         edges_np = np.unique(np.quantile(ref, np.linspace(0, 1, 11)))
         assert got[f][0] == pytest.approx(list(edges_np), rel=1e-12, abs=1e-12)
+
+
+def test_psi_paths_agree(spark):
+    rng = np.random.default_rng(6)
+    r = spark.createDataFrame([(float(x),) for x in rng.normal(10, 2, 1500).round(1)], "x double")
+    c = spark.createDataFrame([(float(x),) for x in rng.normal(10.5, 2, 1500).round(1)], "x double")
+    local = drift.check_feature_drift(r, c, ["x"]).first()["psi"]
+    dist = drift.check_feature_drift(r, c, ["x"], local_limit=0).first()["psi"]
+    assert dist == pytest.approx(local, rel=1e-12, abs=1e-15)
