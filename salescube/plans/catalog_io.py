@@ -20,7 +20,7 @@ from salescube.schemas import GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FE
 from salescube.session import shared_path
 from salescube.sources import io
 from salescube.streaming.feed import latest_feed, run_feed_stream
-from salescube.operators import staging
+from salescube.operators import quality, staging
 
 LEGACY_FEED_DAYS = 7     # first feed days were written before the price column existed
 REPLACE_DAYS = 14        # trailing prediction days a backfill rewrites
@@ -143,6 +143,8 @@ def batch_scores(spark, sf_dir):
     """M4: one-step-ahead forecast of every series from the trailing 60 days."""
     L = layers(spark, sf_dir)
     hist = L.fct_window(F.date_sub(L.last_date, 60)).select(*RAW_SOURCE_COLUMNS)
+    # Q5: the serving extract must carry every column training used.
+    quality.require_columns(hist, RAW_SOURCE_COLUMNS, "serving extract")
     return mdl.predict_next_day(hist, trained(spark, sf_dir)[0])
 
 
@@ -180,8 +182,13 @@ def publish_gate(spark, sf_dir):
 def series_forecast(spark, sf_dir):
     """M9: one series' next-day forecast, a filter of the batch-score table."""
     from salescube.plans.catalog import POINT_ITEM, POINT_STORE
-    s = batch_scores(spark, sf_dir)
-    return s.filter((F.col("store_id") == POINT_STORE) & (F.col("item_id") == POINT_ITEM))
+    L = layers(spark, sf_dir)
+    one = (L.fct_window(F.date_sub(L.last_date, 60))
+           .filter((F.col("store_id") == POINT_STORE) & (F.col("item_id") == POINT_ITEM))
+           .select(*RAW_SOURCE_COLUMNS))
+    # The point filter reaches the Parquet scan; the stub day is the series' own
+    # last date + 1, as for a single-series request.
+    return mdl.predict_next_day(one, trained(spark, sf_dir)[0])
 
 
 # --------------------------------------------------------------------------- CSV edge, daily catch-up
