@@ -44,3 +44,12 @@ def test_oracle_parity_small(spark):
         s = E.queries()[name](spark, SF).toPandas()
         o = con.execute(E.oracle_sql()[name]).df()
         assert digest(s) == digest(o), name
+
+
+@needs_data
+def test_no_cartesian_or_nested_loop_plans(spark):
+    for name in ["fct_sales", "feature_full", "evaluate_predictions", "psi_drift", "missing_days"]:
+        df = E.queries()[name](spark, SF)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
