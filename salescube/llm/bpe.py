@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
+from salescube.llm.common import small
+
 # The tokenizer file's path is a parameter; this is where the box keeps it.
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 MAX_VOCABULARY_BYTES = 64_000_000
@@ -39,8 +41,8 @@ MAX_VOCABULARY_BYTES = 64_000_000
 WHITE_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 SHORT = 96
-CACHED_WORDS = 400_000
-STEP_CHARS = 1_000_000
+CACHED_WORDS = 250_000
+STEP_CHARS = 500_000
 ID_SPAN = 1 << 24
 NO_RANK = 1 << 60
 
@@ -352,7 +354,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", out
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for frame in frames:
+        for frame in small(frames, text_col):
             lists = codec.encode_batch([t or "" for t in frame.column(text_col).to_pylist()])
             ends = np.zeros(len(lists) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in lists], out=ends[1:])
@@ -371,7 +373,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ou
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for frame in frames:
+        for frame in few_lists(frames, ids_col):
             texts = decode_lists(codec, frame.column(ids_col))
             yield pa.RecordBatch.from_arrays(
                 [frame.column(c) for c in kept] + [pa.array(texts, pa.string())], kept + [out_col])
@@ -386,6 +388,17 @@ def packed_lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), ends
 
 
+def few_lists(frames: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut to some hundred thousand ids each."""
+    for frame in frames:
+        upto = np.cumsum(frame.column(column).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(frame):
+            until = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + STEP_CHARS, side="right")))
+            yield frame.slice(at, until - at)
+            at = until
+
+
 def decode_lists(codec: Codec, column: pa.ListArray) -> list[str | None]:
     texts = codec.decode_batch(*packed_lists(column)) if len(column) else []
     return [t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())]
@@ -400,7 +413,7 @@ def digest(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ke
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for frame in frames:
+        for frame in few_lists(frames, ids_col):
             column = frame.column(ids_col)
             ids, ends = packed_lists(column)
             begins = [0, *ends[:-1].tolist()]

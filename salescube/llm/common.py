@@ -12,7 +12,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,6 +67,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that ``column`` (string or binary) has about ``limit`` bytes in each.
+
+    What a task makes of a batch then has a bound of its own, however many rows
+    Spark puts into one; a longer single value is a batch by itself.
+    """
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < len(batch):
+            past = upto[at - 1] if at else 0
+            until = max(at + 1, int(np.searchsorted(upto, past + limit, side="right")))
+            yield batch.slice(at, until - at)
+            at = until
+
+
 def ranged(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Range-partition by ``order``, sort, and store with the partition number ``_pid``.
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescube.llm.common import small
+
 UNDETERMINED = "und"
 
 
@@ -135,7 +137,7 @@ def document_frequencies(docs: DataFrame, text_col: str, buckets: int) -> np.nda
     """Documents that have each bucket, over all rows; with their number at the end."""
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets + 1, np.int64)
-        for frame in frames:
+        for frame in small(frames, text_col):
             for text in frame.column(0).to_pylist():
                 if text:
                     total[np.unique(ngrams(text, buckets))] += 1
@@ -205,7 +207,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     kept = [c for c in docs.columns if c not in (pred_col, score_col)]
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in small(frames, text_col):
             got = [shared.value.predict(t) for t in frame.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [frame.column(c) for c in kept]

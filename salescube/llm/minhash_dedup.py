@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescube.llm.common import stored
+from salescube.llm.common import small, stored
 from salescube.llm.components import connected_components
 
 HASHES = 128
@@ -129,7 +129,7 @@ def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
     """(doc_id, n, h1, h2, sig): set size, 128 bits of hash of the set, signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
-        for batch in batches:
+        for batch in small(batches, "text"):
             n, h1, h2, sig = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, plan.words)
@@ -174,7 +174,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text"):
             data = [shingles(t, plan.words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], ["id", "set"])
 

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescube.llm.common import scratch_path, stored
+from salescube.llm.common import scratch_path, small, stored
 
 # Fixed values of the formats.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -189,7 +189,7 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES,
                 [pa.array(c, t) for c, t in zip(cols, types)],
                 ["page_id", "bundle", "frame", "start", "packed", "plain", "offset"])
 
-        for batch in frames:
+        for batch in small(frames, "html"):
             for page, url, html, refers in zip(*[batch.column(c) for c in ("page_id", "url", "html", "refers_to")]):
                 if writer is None:
                     name, places = f"pages-{uuid.uuid4().hex}.warc.zst", []
