@@ -12,11 +12,14 @@ links are looked for in two steps:
 1. Each class is paired with the smallest class of each of its buckets. That is
    linear in the bucket, and joins most groups of copies at once.
 2. In buckets that still hold several components, pairs across components are
-   compared. A bucket of more than ``BLOCK`` classes is cut into blocks by hash
-   and every two blocks are one task. Rounds offer at most 4, then 64 survivors
-   a class and other component, joining components in between; the last round,
-   if any task held some back, offers all. So no link between components is
-   lost, and large groups are seldom paired out.
+   compared, each pair in the first band it shares only. A bucket of more than
+   ``BLOCK`` classes is cut into blocks by hash and every two blocks are one
+   task. In a round each component offers its few most alike survivors, which
+   join components, so a large group is done in rounds that halve it and is not
+   paired out. The last round, if any task held some back, offers all: no link
+   between components is lost.
+
+Texts are shuffled once, for the classes that share a bucket with another.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from salescube.llm.components import connected_components
 HASHES = 128
 BATCH = 16
 BLOCK = 1024
-ROUNDS = (4, 64, 1 << 62)
+ROUNDS = (1, 2, 8, 64, 1 << 62)
 BAND_MISS = 1e-6
 PRUNE_MISS = 1e-6
 KNOWN_WORDS = 500_000
@@ -125,25 +128,54 @@ def _functions(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+def _set_hash(s: np.ndarray) -> tuple[int, int]:
+    data = s.tobytes()
+    return xxhash.xxh64_intdigest(data, 1) - (1 << 63), xxhash.xxh64_intdigest(data, 2) - (1 << 63)
+
+
 def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, n, h1, h2, sig): set size, 128 bits of hash of the set, signature."""
+    """(doc_id, n, h1, h2, keys): set size, 128 bits of hash of the set, a key for each band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
+        step = 4 * plan.rows
         for batch in small(batches, "text"):
-            n, h1, h2, sig = [], [], [], []
+            n, hashes, keys = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, plan.words)
-                data = s.tobytes()
+                sig = signature(s, a, b) if len(s) else b""
                 n.append(len(s))
-                h1.append(xxhash.xxh64_intdigest(data, 1) - (1 << 63))
-                h2.append(xxhash.xxh64_intdigest(data, 2) - (1 << 63))
-                sig.append(signature(s, a, b) if len(s) else None)
+                hashes.append(_set_hash(s))
+                keys.append([xxhash.xxh64_intdigest(sig[k * step:(k + 1) * step], k) - (1 << 63)
+                             for k in range(plan.bands)] if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
-                 pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n", "h1", "h2", "sig"])
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([h for h, _ in hashes], pa.int64()),
+                 pa.array([h for _, h in hashes], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n", "h1", "h2", "keys"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, h1 long, h2 long, sig binary")
+        run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
+
+
+def _candidates(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
+    """Stored (cls, n, sig, text) of the wanted classes (cls, h1, h2)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _functions(plan.hashes)
+        for batch in small(batches, "text"):
+            n, sig, own = [], [], []
+            for text, h1, h2 in zip(*[batch.column(c).to_pylist() for c in ("text", "h1", "h2")]):
+                s = shingles(text, plan.words)
+                own.append(_set_hash(s) == (h1, h2))  # rows that repeat an id may differ in text
+                n.append(len(s))
+                sig.append(signature(s, a, b))
+            keep = pa.array(own, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [c.filter(keep) for c in (batch.column("cls"), pa.array(n, pa.int64()),
+                                          pa.array(sig, pa.binary()), batch.column("text"))],
+                ["cls", "n", "sig", "text"])
+
+    rows = docs.join(wanted, F.col("doc_id") == F.col("cls")).select("cls", "text", "h1", "h2")
+    found = rows.mapInArrow(run, "cls long, n long, sig binary, text string")
+    return stored(found.dropDuplicates(["cls"]), "candidates")
 
 
 def _signature_matrix(column, hashes: int) -> np.ndarray:
@@ -151,8 +183,9 @@ def _signature_matrix(column, hashes: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, hashes)
 
 
-def survivors(first: np.ndarray, second: np.ndarray, i: np.ndarray, j: np.ndarray, plan: Plan) -> np.ndarray:
-    """Which of the pairs (first[i], second[j]) outlive all batches."""
+def survivors(first: np.ndarray, second: np.ndarray, i: np.ndarray, j: np.ndarray,
+              plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (first[i], second[j]) outlive all batches, and their matches."""
     alive = np.arange(len(i))
     matches = np.zeros(len(i), np.int16)
     for k, least in enumerate(plan.least_matches()):
@@ -162,24 +195,23 @@ def survivors(first: np.ndarray, second: np.ndarray, i: np.ndarray, j: np.ndarra
             some = alive[at:at + 100_000]
             matches[some] += (a[i[some]] == b[j[some]]).sum(axis=1, dtype=np.int16)
         alive = alive[matches[alive] >= least]
-    return alive
+    return alive, matches[alive]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
+def _verified(pairs: DataFrame, cands: DataFrame, plan: Plan) -> DataFrame:
     """The pairs (a, b) of class ids whose full shingle sets are similar enough, stored.
 
     The set of ``a`` travels with the pair, the set of ``b`` meets it in a join
     whose other side has one row for each class, so a hub's set is shuffled once.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, "text"):
             data = [shingles(t, plan.words).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], ["id", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(data, pa.binary())], ["id", "set"])
 
-    # Rows that repeat an id may differ in text; the class is that of the row with the class's own set.
-    wanted = docs.join(ends, "doc_id", "left_semi").select("doc_id", "text")
+    wanted = cands.join(ends, "cls", "left_semi").select("cls", "text")
     full = stored(wanted.mapInArrow(sets, "id long, set binary"), "shingle-sets")
     joined = (pairs.join(full.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
               .join(full.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
@@ -210,41 +242,47 @@ def _star_pairs(bands: DataFrame, reps: DataFrame, plan: Plan) -> DataFrame:
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.arange(len(batch))
-            alive = survivors(_signature_matrix(batch.column("sa"), plan.hashes),
-                              _signature_matrix(batch.column("sb"), plan.hashes), at, at, plan)
+            alive, _ = survivors(_signature_matrix(batch.column("sa"), plan.hashes),
+                                 _signature_matrix(batch.column("sb"), plan.hashes), at, at, plan)
             yield batch.select(["a", "b"]).take(pa.array(alive))
 
     return stored(joined.mapInArrow(prune, "a long, b long"), "star-pairs")
 
 
 def _offer(plan: Plan, most: int):
-    """Pairs across components of two blocks of a bucket: up to ``most`` survivors of the
-    pairs of a class and another component, and whether some were held back."""
+    """Survivors across components of two blocks of a bucket: the ``most`` most alike of each
+    component, and whether some were held back."""
     names, types = ["a", "b", "held"], [pa.int64(), pa.int64(), pa.bool_()]
 
     def run(bucket: pa.Table) -> pa.Table:
         bucket = bucket.combine_chunks().sort_by("cls")
-        cls, comp = bucket.column("cls").to_numpy(), bucket.column("comp").to_numpy()
-        block, lo, hi = bucket.column("block").to_numpy(), bucket.column("lo")[0].as_py(), bucket.column("hi")[0].as_py()
+        cls, comp, n = (bucket.column(c).to_numpy() for c in ("cls", "comp", "n"))
+        block, lo, hi, band = bucket.column("block").to_numpy(), *(bucket.column(c)[0].as_py() for c in ("lo", "hi", "band"))
         sig = _signature_matrix(bucket.column("sig"), plan.hashes)
         first = np.flatnonzero(block == lo)
         second = first if lo == hi else np.flatnonzero(block == hi)
-        across = comp[first][:, None] != comp[second][None, :]
-        i, j = np.nonzero(np.triu(across, 1) if lo == hi else across)
+        x, y = n[first][:, None], n[second][None, :]
+        able = (comp[first][:, None] != comp[second][None, :]) & (
+            100 * np.minimum(x, y) >= plan.percent * np.maximum(x, y))
+        i, j = np.nonzero(np.triu(able, 1) if lo == hi else able)
         i, j = first[i], second[j]
-        alive = survivors(sig, sig, i, j, plan)
+        alive, matches = survivors(sig, sig, i, j, plan)
         i, j = i[alive], j[alive]
-        # The nth survivor of each class and other component.
-        order = np.lexsort((j, comp[j], i))
-        i, j = i[order], j[order]
         new = np.ones(len(i), bool)
-        new[1:] = (i[1:] != i[:-1]) | (comp[j[1:]] != comp[j[:-1]])
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else np.empty(0, int)
-        nth = np.arange(len(i)) - begin
-        out = nth < most
+        for k in range(band):  # an earlier band offers the pair
+            part = slice(k * plan.rows, (k + 1) * plan.rows)
+            new[new] = (sig[i[new], part] != sig[j[new], part]).any(axis=1)
+        i, j, matches = i[new], j[new], matches[new]
+        # The rank of each pair among those of either end's component.
+        pair = np.tile(np.arange(len(i)), 2)
+        of = np.concatenate([comp[i], comp[j]])
+        order = np.lexsort((pair, -matches[pair], of))
+        rank = np.arange(len(order)) - np.searchsorted(of[order], of[order])
+        out = np.zeros(len(i), bool)
+        out[pair[order[rank < most]]] = True
         held = bool((~out).any())
         a, b = np.maximum(cls[i[out]], cls[j[out]]), np.minimum(cls[i[out]], cls[j[out]])
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip((a, b, np.full(len(a), held)), types)], names)
+        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip((a, b, np.full(len(a), held)), types)], names)
 
     return run
 
@@ -264,7 +302,7 @@ def _crossing_pairs(bands: DataFrame, reps: DataFrame, comps: DataFrame, plan: P
              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-             .select("band", "key", "lo", "hi", "block", "cls", "comp", "sig"))
+             .select("band", "key", "lo", "hi", "block", "cls", "comp", "n", "sig"))
     offered = dealt.groupBy("band", "key", "lo", "hi").applyInArrow(_offer(plan, most), "a long, b long, held boolean")
     return stored(offered.groupBy("a", "b").agg(F.bool_or("held").alias("held")), "crossing-pairs")
 
@@ -282,28 +320,27 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     sketches = stored(_sketches(rows, plan), "sketches")
     linked = sketches.where("n > 0 and doc_id is not null")
     heads = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("cls"))
-    members = stored(linked.join(heads, ["h1", "h2"]).select("doc_id", "n", "cls"), "members")
-    owners = heads.withColumnRenamed("cls", "doc_id")
-    reps = stored(linked.join(owners, ["doc_id", "h1", "h2"], "left_semi")
-                  .select(F.col("doc_id").alias("cls"), "sig").dropDuplicates(["cls"]), "signatures")
-    step = 4 * plan.rows
-    keys = F.array(*[F.xxhash64(F.substring("sig", k * step + 1, step)) for k in range(plan.bands)])
-    every = reps.select("cls", F.posexplode(keys).alias("band", "key"))
+    members = stored(linked.select("doc_id", "n", "h1", "h2").join(heads, ["h1", "h2"])
+                     .select("doc_id", "n", "cls", "h1", "h2"), "members")
+    owners = members.where("doc_id = cls").select("cls", "h1", "h2").distinct()
+    every = (linked.join(owners.withColumnRenamed("cls", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")
+             .select(F.col("doc_id").alias("cls"), F.posexplode("keys").alias("band", "key")))
     # Most buckets hold one class; only the others are kept.
-    shared = every.groupBy("band", "key").count().where("count > 1").drop("count")
-    bands = stored(every.join(shared, ["band", "key"], "left_semi"), "bands")
+    shared = every.groupBy("band", "key").agg(F.min("cls").alias("c0"), F.max("cls").alias("c1")).where("c0 <> c1")
+    bands = stored(every.join(shared, ["band", "key"], "left_semi").distinct(), "bands")
+    reps = _candidates(rows, owners.join(bands.select("cls").distinct(), "cls", "left_semi"), plan)
 
-    links = _verified(_star_pairs(bands, reps, plan), rows, plan)
+    links = _verified(_star_pairs(bands, reps.select("cls", "sig"), plan), reps, plan)
     comps = connected_components(links)
     tried = None
     for most in ROUNDS:
-        pairs = _crossing_pairs(bands, reps, comps, plan, most)
+        pairs = _crossing_pairs(bands, reps.select("cls", "n", "sig"), comps, plan, most)
         held = not pairs.where("held").isEmpty()
         new = pairs.select("a", "b")
         if tried is not None:
             new = stored(new.join(tried, ["a", "b"], "left_anti"), "new-pairs")
         if not new.isEmpty():
-            more = _verified(new, rows, plan)
+            more = _verified(new, reps, plan)
             if not more.isEmpty():
                 links = links.unionByName(more)
                 comps = connected_components(links)
