@@ -14,12 +14,13 @@ links are looked for in two steps:
 2. In buckets that still hold several components, pairs across components are
    compared, each pair in the first band it shares only. A bucket of more than
    ``BLOCK`` classes is cut into blocks by hash and every two blocks are one
-   task. In a round each component offers its few most alike survivors, which
-   join components, so a large group is done in rounds that halve it and is not
-   paired out. The last round, if any task held some back, offers all: no link
-   between components is lost.
+   task. A task takes its survivors from the most alike down, passes over those
+   that are joined by now, verifies the others on the texts it holds, and returns
+   the links of a spanning forest: no link between components is lost and no
+   group is paired out.
 
-Texts are shuffled once, for the classes that share a bucket with another.
+Texts are shuffled once for the classes that share a bucket with another, and
+with the rows of the buckets of step 2.
 """
 
 from __future__ import annotations
@@ -39,8 +40,7 @@ from salescube.llm.components import connected_components
 
 HASHES = 128
 BATCH = 16
-BLOCK = 1024
-ROUNDS = (1, 2, 8, 64, 1 << 62)
+BLOCK = 512
 BAND_MISS = 1e-6
 PRUNE_MISS = 1e-6
 KNOWN_WORDS = 500_000
@@ -220,10 +220,8 @@ def _verified(pairs: DataFrame, cands: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             ok = []
             for sa, sb in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(sa.as_buffer(), np.uint64), np.frombuffer(sb.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                ok.append(100 * both >= plan.percent * (len(x) + len(y) - both))
+                ok.append(similar(np.frombuffer(sa.as_buffer(), np.uint64),
+                                  np.frombuffer(sb.as_buffer(), np.uint64), plan.percent))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
@@ -249,15 +247,19 @@ def _star_pairs(bands: DataFrame, reps: DataFrame, plan: Plan) -> DataFrame:
     return stored(joined.mapInArrow(prune, "a long, b long"), "star-pairs")
 
 
-def _offer(plan: Plan, most: int):
-    """Survivors across components of two blocks of a bucket: the ``most`` most alike of each
-    component, and whether some were held back."""
-    names, types = ["a", "b", "held"], [pa.int64(), pa.int64(), pa.bool_()]
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets pass 100 * intersection >= percent * union."""
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
+
+def _join_components(plan: Plan):
+    """Links that join the components of two blocks of a bucket."""
     def run(bucket: pa.Table) -> pa.Table:
         bucket = bucket.combine_chunks().sort_by("cls")
         cls, comp, n = (bucket.column(c).to_numpy() for c in ("cls", "comp", "n"))
-        block, lo, hi, band = bucket.column("block").to_numpy(), *(bucket.column(c)[0].as_py() for c in ("lo", "hi", "band"))
+        block = bucket.column("block").to_numpy()
+        lo, hi, band = (bucket.column(c)[0].as_py() for c in ("lo", "hi", "band"))
         sig = _signature_matrix(bucket.column("sig"), plan.hashes)
         first = np.flatnonzero(block == lo)
         second = first if lo == hi else np.flatnonzero(block == hi)
@@ -269,42 +271,51 @@ def _offer(plan: Plan, most: int):
         alive, matches = survivors(sig, sig, i, j, plan)
         i, j = i[alive], j[alive]
         new = np.ones(len(i), bool)
-        for k in range(band):  # an earlier band offers the pair
+        for k in range(band):  # an earlier band has the pair
             part = slice(k * plan.rows, (k + 1) * plan.rows)
             new[new] = (sig[i[new], part] != sig[j[new], part]).any(axis=1)
-        i, j, matches = i[new], j[new], matches[new]
-        # The rank of each pair among those of either end's component.
-        pair = np.tile(np.arange(len(i)), 2)
-        of = np.concatenate([comp[i], comp[j]])
-        order = np.lexsort((pair, -matches[pair], of))
-        rank = np.arange(len(order)) - np.searchsorted(of[order], of[order])
-        out = np.zeros(len(i), bool)
-        out[pair[order[rank < most]]] = True
-        held = bool((~out).any())
-        a, b = np.maximum(cls[i[out]], cls[j[out]]), np.minimum(cls[i[out]], cls[j[out]])
-        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip((a, b, np.full(len(a), held)), types)], names)
+        order = np.flatnonzero(new)[np.argsort(-matches[new], kind="stable")]
+        texts, sets, links = bucket.column("text"), {}, []
+        parent = {c: c for c in set(comp.tolist())}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        def full(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingles(texts[k].as_py(), plan.words)
+            return sets[k]
+
+        for p, q in zip(i[order].tolist(), j[order].tolist()):
+            a, b = root(int(comp[p])), root(int(comp[q]))
+            if a != b and similar(full(p), full(q), plan.percent):
+                parent[a] = b
+                links.append((int(cls[p]), int(cls[q])))
+        return pa.Table.from_arrays([pa.array([e[k] for e in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
-def _crossing_pairs(bands: DataFrame, reps: DataFrame, comps: DataFrame, plan: Plan, most: int) -> DataFrame:
-    """Step 2: survivors among the pairs across components that share a bucket."""
+def _joining_links(bands: DataFrame, cands: DataFrame, comps: DataFrame, plan: Plan) -> DataFrame:
+    """Step 2: verified links (a, b) between components that share a bucket, stored."""
     rows = (bands.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
             .withColumn("comp", F.coalesce("component", "cls")).select("band", "key", "cls", "comp"))
     mark = F.xxhash64("cls").cast("decimal(20,0)")
     buckets = (rows.groupBy("band", "key")
                .agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                     F.sum(mark).alias("members")).where("c0 <> c1"))
-    # Buckets of the same classes in several bands are compared once.
+    # Of buckets of the same classes in several bands the first is enough.
     once = (buckets.groupBy("many", "members").agg(F.min(F.struct("band", "key")).alias("k"))
             .select("k.band", "k.key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")))
-    dealt = (rows.join(once, ["band", "key"]).join(reps, "cls")
+    dealt = (rows.join(once, ["band", "key"]).join(cands, "cls")
              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-             .select("band", "key", "lo", "hi", "block", "cls", "comp", "n", "sig"))
-    offered = dealt.groupBy("band", "key", "lo", "hi").applyInArrow(_offer(plan, most), "a long, b long, held boolean")
-    return stored(offered.groupBy("a", "b").agg(F.bool_or("held").alias("held")), "crossing-pairs")
+             .select("band", "key", "lo", "hi", "block", "cls", "comp", "n", "sig", "text"))
+    return stored(dealt.groupBy("band", "key", "lo", "hi").applyInArrow(_join_components(plan), "a long, b long"),
+                  "joining-links")
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -331,22 +342,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     reps = _candidates(rows, owners.join(bands.select("cls").distinct(), "cls", "left_semi"), plan)
 
     links = _verified(_star_pairs(bands, reps.select("cls", "sig"), plan), reps, plan)
-    comps = connected_components(links)
-    tried = None
-    for most in ROUNDS:
-        pairs = _crossing_pairs(bands, reps.select("cls", "n", "sig"), comps, plan, most)
-        held = not pairs.where("held").isEmpty()
-        new = pairs.select("a", "b")
-        if tried is not None:
-            new = stored(new.join(tried, ["a", "b"], "left_anti"), "new-pairs")
-        if not new.isEmpty():
-            more = _verified(new, reps, plan)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                comps = connected_components(links)
-            tried = new if tried is None else tried.unionByName(new)
-        if not held:
-            break
+    more = _joining_links(bands, reps, connected_components(links), plan)
+    comps = connected_components(links.unionByName(more))
     found = (members.join(comps, F.col("cls") == F.col("node"), "left")
              .select("doc_id", "n", F.coalesce("component", "cls").alias("component_id")))
     none = sketches.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
