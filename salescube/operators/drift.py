@@ -63,7 +63,7 @@ def reference_edges(ref_long: DataFrame, bins: int = PSI_BINS, method: str = "ex
                                        F.count(F.lit(1)).alias("n_ref"))
 
 
-def exact_edges(vc_ref: DataFrame, keys: list[str], bins: int = PSI_BINS) -> DataFrame:
+def exact_edges(vc_ref: DataFrame, keys: list[str], bins: int = PSI_BINS, cut=None) -> DataFrame:
     """Exact decile edges from distinct reference values ``(*keys, value, c)``,
     computed without ever holding one group in one task: *keys, edges, n_ref.
 
@@ -84,7 +84,11 @@ def exact_edges(vc_ref: DataFrame, keys: list[str], bins: int = PSI_BINS) -> Dat
                .select(*keys, "t.i", "t.p",
                        F.explode(F.array(F.floor("t.p"), F.ceil("t.p"))).alias("rank"))
                .distinct())
-    ranged = vc_ref.repartitionByRange(*keys, "value").withColumn("pid", F.spark_partition_id())
+    # The range partition is stored with its number: both branches below read the
+    # same numbers whether or not Spark reuses an exchange.
+    from salescube.session import cut_lineage
+    ranged = (cut or cut_lineage)(
+        vc_ref.repartitionByRange(*keys, "value").withColumn("pid", F.spark_partition_id()))
     part_tot = ranged.groupBy(*keys, "pid").agg(F.sum("c").alias("pc"))
     before = Window.partitionBy(*keys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.select(*keys, "pid", F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"))
@@ -125,14 +129,8 @@ def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
     return total
 
 
-# Distinct reference values one task may hold when computing exact deciles
-# with a single grouped `percentile`; larger groups use `exact_edges`.
-LOCAL_QUANTILE_LIMIT = 200_000
-
-
 def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
-              keys: tuple[str, ...] = ("feature",), local_limit: int = LOCAL_QUANTILE_LIMIT,
-              cut=None) -> DataFrame:
+              keys: tuple[str, ...] = ("feature",), cut=None) -> DataFrame:
     """PSI per `keys` group from one long table ``(*keys, side, value)`` where side
     is 'ref' or 'cur': *keys, psi.
 
@@ -153,18 +151,7 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
         if cut is not None:
             vc = cut(vc)
         ref_vc = vc.filter(F.col("side") == "ref").select(*k, "value", "c")
-        # Exact either way. One grouped `percentile` holds a group's distinct
-        # values in one task, so it is used only when the measured largest
-        # group is within `local_limit`; beyond it the distributed running
-        # count (exact_edges) takes over.
-        biggest = ref_vc.groupBy(*k).count().agg(F.max("count")).first()[0] or 0
-        if biggest <= local_limit:
-            qs = F.array(*[F.lit(x) for x in quantile_levels(bins)])
-            edges = ref_vc.groupBy(*k).agg(
-                F.array_distinct(F.array_sort(F.percentile("value", qs, F.col("c")))).alias("edges"),
-                F.sum("c").alias("n_ref"))
-        else:
-            edges = exact_edges(ref_vc, k, bins)
+        edges = exact_edges(ref_vc, k, bins, cut)
         weight = F.col("c")
         rows = vc
     else:
@@ -194,22 +181,22 @@ def psi_sides(long: DataFrame, bins: int = PSI_BINS, method: str = "exact",
 
 
 def psi_long(ref_long: DataFrame, cur_long: DataFrame, bins: int = PSI_BINS,
-             method: str = "exact", local_limit: int = LOCAL_QUANTILE_LIMIT) -> DataFrame:
+             method: str = "exact") -> DataFrame:
     """PSI per feature from two long samples (feature, value)."""
     both = (ref_long.select("feature", F.lit("ref").alias("side"), "value")
             .unionByName(cur_long.select("feature", F.lit("cur").alias("side"), "value")))
-    return psi_sides(both, bins, method, local_limit=local_limit)
+    return psi_sides(both, bins, method)
 
 
 def check_feature_drift(reference: DataFrame, current: DataFrame, feature_cols: list[str],
                         bins: int = PSI_BINS, threshold: float = PSI_THRESHOLD,
-                        method: str = "exact", local_limit: int = LOCAL_QUANTILE_LIMIT) -> DataFrame:
+                        method: str = "exact") -> DataFrame:
     """feature, psi, drifted (psi > threshold) for numeric features.
 
     A feature whose reference sample is empty still gets a row with PSI 0.
     """
     feats = numeric_features(reference, feature_cols)
-    psi = psi_long(to_long(reference, feats), to_long(current, feats), bins, method, local_limit)
+    psi = psi_long(to_long(reference, feats), to_long(current, feats), bins, method)
     return _flag(reference, feats, psi, threshold)
 
 

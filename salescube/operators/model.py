@@ -1,19 +1,18 @@
 """Boosted-tree model: training, batch scoring, backtest, publish gate (M1-M9).
 
-MLlib replaces the per-process booster. Small-vocabulary categoricals
-(store, event type) go through ``StringIndexer(handleInvalid="keep")`` fitted
-on train only, so unseen categories at scoring time map to the extra index.
-The item key, whose vocabulary grows with the data, is target-encoded with a
-*join*: smoothed per-item means of the training target are a table computed by
+MLlib replaces the per-process booster. The event type, a small vocabulary, goes
+through ``StringIndexer(handleInvalid="keep")`` fitted on train only, so unseen
+categories at scoring time map to the extra index. The store and item keys,
+whose vocabularies grow with the data, are target-encoded with a
+*join*: smoothed per-key means of the training target are a table computed by
 a distributed ``groupBy``, stored next to the pipeline and joined onto train,
 validation and scoring rows (unseen items get the prior). No vocabulary of the
 growing key is ever held on the driver, which an indexer or MLlib's
 TargetEncoder model would do.
 
 Training drops rows with a null feature (as the application does); scoring
-keeps them (``handleInvalid="keep"`` on the assembler). Early stopping:
-MLlib's own validation stop on flagged validation rows, plus the patience
-rule applied to ``evaluateEachIteration`` for the reported best iteration.
+keeps them (``handleInvalid="keep"`` on the assembler). Early stopping is the
+patience rule on ``evaluateEachIteration``, applied by a refit at the best count.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescube.operators import baselines, features, metrics
@@ -31,7 +30,10 @@ from salescube.schemas import GRAIN, ID_COLUMNS, VALID_DAYS, WRMSSE_THRESHOLD
 
 PATIENCE = 20
 # Categoricals whose cardinality grows with the data.
-TARGET_ENCODED = ["item_id"]
+TARGET_ENCODED = ["store_id", "item_id"]
+MAX_ROUNDS = 500
+LEARNING_RATE = 0.05
+FIRST_ROUNDS = 40
 ENCODING_SMOOTHING = 10.0   # pseudo-count pulling rare items toward the prior
 
 
@@ -75,7 +77,7 @@ def apply_encodings(df: DataFrame, encodings: dict[str, DataFrame]) -> DataFrame
 
 
 def _stages(numeric: list[str], categorical: list[str], encoded: list[str],
-            weight_col: str | None, max_iter: int, seed: int):
+            weight_col: str | None, seed: int, learning_rate: float):
     nominal = [c for c in categorical if c not in encoded]
     # One indexer over all small-vocabulary columns: a single pass to fit.
     idx = (StringIndexer(inputCols=nominal, outputCols=[f"{c}_idx" for c in nominal],
@@ -83,9 +85,8 @@ def _stages(numeric: list[str], categorical: list[str], encoded: list[str],
     inputs = numeric + [f"{c}_enc" for c in encoded] + [f"{c}_idx" for c in nominal]
     asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="sales", predictionCol="prediction",
-                       maxIter=max_iter, stepSize=0.05 if max_iter >= 200 else 0.1, maxDepth=6,
-                       minInstancesPerNode=20, maxBins=256, seed=seed, lossType="squared",
-                       validationIndicatorCol="is_valid", validationTol=0.0)
+                       stepSize=learning_rate, maxDepth=6, minInstancesPerNode=20, maxBins=256,
+                       seed=seed, lossType="squared")
     if weight_col:
         gbt.setWeightCol(weight_col)
     return idx, asm, gbt
@@ -103,8 +104,28 @@ def best_iteration(curve: list[float], patience: int = PATIENCE) -> int:
     return best_i + 1
 
 
+def boost(gbt: GBTRegressor, train: DataFrame, valid: DataFrame, max_iter: int = MAX_ROUNDS,
+          patience: int = PATIENCE) -> tuple[GBTRegressionModel, int]:
+    """Boosting with patience: the model of the round where the validation error is least.
+
+    MLlib's own early stop ends at the first round that isn't better, so rounds
+    are fitted in full. The count doubles until ``patience`` rounds pass without
+    improvement or ``max_iter`` is reached; the best count is then fitted again,
+    which with the same seed gives the same first trees.
+    """
+    rounds = min(FIRST_ROUNDS, max_iter)
+    while True:
+        model = gbt.setMaxIter(rounds).fit(train)
+        best = best_iteration(model.evaluateEachIteration(valid, "squared"), patience)
+        if best + patience <= rounds or rounds == max_iter:
+            break
+        rounds = min(2 * rounds, max_iter)
+    return (model if best == rounds else gbt.setMaxIter(best).fit(train)), best
+
+
 def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: str | None = None,
-          max_iter: int = 30, seed: int = 7, keep=None) -> TrainResult:
+          max_iter: int = MAX_ROUNDS, seed: int = 7, keep=None,
+          learning_rate: float = LEARNING_RATE) -> TrainResult:
     """W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3).
 
     `keep(name, build)` stores intermediate tables (e.g. ``Layers._keep``): the
@@ -129,18 +150,15 @@ def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: st
         weight_col = "weight"
     tr_e = tr_e.withColumn("sales", F.col("sales").cast("double"))
     va_e = va_e.withColumn("sales", F.col("sales").cast("double"))
-    idx, asm, gbt = _stages(numeric, categorical, encoded, weight_col, max_iter, seed)
+    idx, asm, gbt = _stages(numeric, categorical, encoded, weight_col, seed, learning_rate)
     # M1: categories are fixed on the training rows only.
     idx_model = idx.fit(tr_e) if idx is not None else None
     prep = PipelineModel(stages=[s for s in (idx_model, asm) if s is not None])
-    both = (tr_e.withColumn("is_valid", F.lit(False))
-            .unionByName(va_e.withColumn("is_valid", F.lit(True))))
-    # MLlib's own early stopping on the flagged validation rows keeps only the
-    # trees that still improved the validation error.
-    gbt_model: GBTRegressionModel = gbt.fit(prep.transform(both))
+    fit_rows = keep("fit_rows", lambda: prep.transform(tr_e).select(
+        "features", "sales", *([weight_col] if weight_col else [])))
+    valid_rows = keep("valid_rows", lambda: prep.transform(va_e).select("features", "sales"))
+    gbt_model, best = boost(gbt, fit_rows, valid_rows, max_iter)
     model = Model(PipelineModel(stages=[*prep.stages, gbt_model]), encodings)
-    curve = gbt_model.evaluateEachIteration(prep.transform(va_e), "squared")
-    best = best_iteration(curve)
     scored = score(model, va)
     return TrainResult(model, feats, best, scored, tr, va)
 
@@ -163,9 +181,22 @@ def training_metrics(res: TrainResult) -> DataFrame:
                      n_train.alias("n_train_rows"), n_valid.alias("n_valid_rows"))
 
 
-def predict_next_day(history: DataFrame, model: Model) -> DataFrame:
-    """One-step-ahead forecast of every series (M4): stub at global max+1 -> W5 -> score."""
+def carry_price(history: DataFrame) -> DataFrame:
+    """Null prices take the series' last known one."""
+    if "sell_price" not in history.columns:
+        return history
+    upto = Window.partitionBy(*ID_COLUMNS).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    return history.withColumn("sell_price", F.last("sell_price", ignorenulls=True).over(upto))
+
+
+def predict_next_day(history: DataFrame, model: Model, reference_stub: bool = False) -> DataFrame:
+    """One-step-ahead forecast of every series (M4): stub at global max+1 -> W5 -> score.
+
+    The stub row has the last known price; ``reference_stub`` leaves it null.
+    """
     aug = features.next_day_stub(history)
+    if not reference_stub:
+        aug = carry_price(aug)
     featured = features.build_features(aug)
     target = F.date_add(history.agg(F.max("date")).scalar(), 1)
     return score(model, featured.filter(F.col("date") == target))
@@ -173,7 +204,7 @@ def predict_next_day(history: DataFrame, model: Model) -> DataFrame:
 
 def backtest(history: DataFrame, targets: DataFrame, model: Model) -> DataFrame:
     """Features once over the whole history, rows of the target dates, predict (M5)."""
-    featured = features.build_features(history)
+    featured = features.build_features(carry_price(history))
     rows = featured.join(targets.select("date").distinct(), "date", "left_semi")
     return score(model, rows)
 
@@ -196,19 +227,16 @@ def publish(model: Model, metrics_row: DataFrame, path: str,
 def save(model: Model, path: str) -> None:
     """Pipeline under `path/pipeline`, each encoding table as Parquet."""
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    names = [(c,) for c in model.encodings]
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame(names, "name string").write.mode("overwrite").parquet(f"{path}/encodings")
     for col, enc in model.encodings.items():
         enc.write.mode("overwrite").parquet(f"{path}/encoding_{col}")
 
 
 def load(path: str, spark=None) -> Model:
     """Inverse of ``save``; encoding tables are read back lazily as Parquet."""
-    from pyspark.sql import SparkSession
     spark = spark or SparkSession.getActiveSession()
     pipe = PipelineModel.load(f"{path}/pipeline")
-    enc = {}
-    for c in TARGET_ENCODED:
-        try:
-            enc[c] = spark.read.parquet(f"{path}/encoding_{c}")
-        except Exception:  # noqa: BLE001 - model trained without that column
-            pass
-    return Model(pipe, enc)
+    names = [r["name"] for r in spark.read.parquet(f"{path}/encodings").collect()]
+    return Model(pipe, {c: spark.read.parquet(f"{path}/encoding_{c}") for c in names})

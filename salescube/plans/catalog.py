@@ -18,7 +18,8 @@ from salescube.operators import baselines, features, metrics, reads, staging
 from salescube.operators.quality import quality_report
 from salescube.plans.layers import Layers
 from salescube.plans.oracle import q
-from salescube.schemas import GRAIN, ID_COLUMNS, LAGS, RAW_SOURCE_COLUMNS, ROLLING_WINDOWS
+from salescube.schemas import (GRAIN, ID_COLUMNS, LAGS, MAX_CATCHUP_DAYS, RAW_SOURCE_COLUMNS,
+                               ROLLING_WINDOWS)
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -44,7 +45,7 @@ def r6(*cols: str):
 
 
 HOLDOUT_DAYS = 14
-MISSING_DAYS_CAP = 10
+MISSING_DAYS_CAP = MAX_CATCHUP_DAYS
 HALF = "half"
 
 # --------------------------------------------------------------------------- staging / marts

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from salescube.functions import dates
 from salescube.operators import model as mdl
-from salescube.plans.catalog import layers, r6, register
+from salescube.plans.catalog import MAPPING, layers, r6, register
 from salescube.plans.catalog_jobs import DRIFT_FEATURES, RUNS_SQL, model_runs
 from salescube.plans.oracle import q
-from salescube.schemas import GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FEED_RAW, TRAINING_LOOKBACK_DAYS
+from salescube.schemas import (BACKFILL_DAYS, GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FEED_RAW,
+                               TRAINING_LOOKBACK_DAYS)
 from salescube.session import shared_path
 from salescube.sources import io
 from salescube.streaming.feed import latest_feed, run_feed_stream
@@ -24,7 +25,7 @@ from salescube.operators import quality, staging
 
 LEGACY_FEED_DAYS = 7     # first feed days were written before the price column existed
 REPLACE_DAYS = 14        # trailing prediction days a backfill rewrites
-BACKTEST_DAYS = 14
+SERVING_HISTORY_DAYS = 60   # what a target day's features look back on
 
 
 def scratch(spark, name: str) -> str:
@@ -112,18 +113,17 @@ def feed_stream(spark, sf_dir):
 # --------------------------------------------------------------------------- model (rows-only)
 
 _TRAINED: dict = {}
-MAX_ITER = 20
 
 
 def trained(spark, sf_dir):
     """M3 on the training extract (last 730 days, I14), fitted once per application;
     the pipeline is saved to the shared folder and reloaded (I18)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(MAPPING.items())))
     if key not in _TRAINED:
         L = layers(spark, sf_dir)
         end = L.last_date
         extract = L.fct_window(F.date_sub(end, TRAINING_LOOKBACK_DAYS), end)
-        res = mdl.train(extract.select(*RAW_SOURCE_COLUMNS), max_iter=MAX_ITER, keep=L._keep)
+        res = mdl.train(extract.select(*RAW_SOURCE_COLUMNS), keep=L._keep)
         path = scratch(spark, "model")
         mdl.save(res.model, path)
         metrics_row = L._keep("train_metrics", lambda: mdl.training_metrics(res))
@@ -150,10 +150,11 @@ def batch_scores(spark, sf_dir):
 
 @register("backtest_scores", None)
 def backtest_scores(spark, sf_dir):
-    """M5: backtest of the last 14 actual dates with features built once."""
+    """M5: backtest of the last 90 actual dates with features built once."""
     L = layers(spark, sf_dir)
-    targets = dates.backfill_targets(spark, L.last_date, BACKTEST_DAYS)
-    return mdl.backtest(L.fct_sales.select(*RAW_SOURCE_COLUMNS), targets, trained(spark, sf_dir)[0])
+    targets = dates.backfill_targets(spark, L.last_date, BACKFILL_DAYS)
+    hist = L.fct_window(F.date_sub(L.last_date, BACKFILL_DAYS + SERVING_HISTORY_DAYS))
+    return mdl.backtest(hist.select(*RAW_SOURCE_COLUMNS), targets, trained(spark, sf_dir)[0])
 
 
 @register("score_rows", None)

@@ -23,9 +23,17 @@ def append_csv_to_table(spark: SparkSession, csv_path: str, schema: T.StructType
     df.select(*schema.fieldNames()).write.mode("append").parquet(table_path)
 
 
+def clustered(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of one output partition together, so that each task writes few files.
+
+    The row's hash as a second range key lets a large partition span tasks.
+    """
+    return df.repartitionByRange(F.col(partition_col), F.xxhash64(*df.columns))
+
+
 def write_long_history(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Long history output, partitioned by month of `date`."""
-    w = df.withColumn("month_start", F.trunc("date", "month")).write.mode("overwrite")
+    w = clustered(df.withColumn("month_start", F.trunc("date", "month")), "month_start").write.mode("overwrite")
     if fmt == "csv":
         w = w.option("header", True)
     w.partitionBy("month_start").format(fmt).save(path)
@@ -52,13 +60,13 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str = "date") ->
     Requires `df` to hold every row of each replaced partition (true for a
     prediction table: each date holds all series of that date).
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (clustered(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
 def append_json_lines(df: DataFrame, path: str) -> None:
     """Run-log append as JSON lines with nested fields."""
-    df.coalesce(1).write.mode("append").json(path)
+    df.write.mode("append").json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

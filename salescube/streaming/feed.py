@@ -7,7 +7,8 @@ recovery after a failure is idempotent). Progress lives in the checkpoint
 location on shared storage, so a restarted query resumes where it stopped.
 
 ``latest_feed`` de-duplicates at the grain: for each (date, store, item) the
-row from the highest batch wins, so a late re-delivery of a day replaces the
+row from the highest batch, and in a batch from the file delivered last, wins,
+so a late re-delivery of a day replaces the
 earlier values of those series only; other series of that date are kept
 (overwriting a ``date=`` partition from a micro-batch would erase them).
 """
@@ -20,13 +21,16 @@ from pyspark.sql import types as T
 
 from salescube.schemas import GRAIN
 
+DELIVERED = "delivered_at"
+
 
 def run_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType, landing: str,
                     checkpoint: str, max_files_per_trigger: int | None = None) -> None:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    # When the file was delivered decides between rows of one batch.
+    stream = reader.parquet(source_dir).select("*", F.col("_metadata.file_modification_time").alias(DELIVERED))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("ingested_batch", F.lit(batch_id).cast("long"))
@@ -39,9 +43,10 @@ def run_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 
 def latest_feed(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per grain: the value from the highest batch id."""
+    """One row per grain: the value from the highest batch id, then the latest file."""
     df = spark.read.parquet(landing)
-    cols = [c for c in df.columns if c not in ("batch_id", "ingested_batch")]
+    cols = [c for c in df.columns if c not in ("batch_id", "ingested_batch", DELIVERED)]
     return (df.groupBy(*GRAIN)
-            .agg(F.max_by(F.struct(*[c for c in cols if c not in GRAIN]), "batch_id").alias("v"))
+            .agg(F.max_by(F.struct(*[c for c in cols if c not in GRAIN]),
+                          F.struct("batch_id", DELIVERED)).alias("v"))
             .select(*GRAIN, "v.*"))

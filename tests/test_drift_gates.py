@@ -12,17 +12,6 @@ def psi_of(spark, ref, cur):
     return drift.check_feature_drift(r, c, ["x"]).first()["psi"]
 
 
-def numpy_psi(ref, cur, bins=10):
-    edges = np.unique(np.quantile(ref, np.linspace(0, 1, bins + 1)))
-    if edges.size < 3:
-        return 0.0
-    edges[0], edges[-1] = -np.inf, np.inf
-    rc, _ = np.histogram(ref, bins=edges)
-    cc, _ = np.histogram(cur, bins=edges)
-    rp, cp = rc / rc.sum() + 1e-6, cc / cc.sum() + 1e-6
-    return float(np.sum((cp - rp) * np.log(cp / rp)))
-
-
 def test_psi_same_and_shifted(spark):
     rng = np.random.default_rng(0)
     ref, same, shifted = rng.normal(10, 2, 1000), rng.normal(10, 2, 1000), rng.normal(25, 2, 1000)
@@ -30,10 +19,14 @@ def test_psi_same_and_shifted(spark):
     assert psi_of(spark, ref, shifted) > 0.2
 
 
-def test_psi_matches_numpy(spark):
-    rng = np.random.default_rng(1)
-    ref, cur = rng.poisson(3, 500), rng.poisson(4, 400)
-    assert psi_of(spark, ref, cur) == pytest.approx(numpy_psi(ref, cur), rel=1e-9, abs=1e-12)
+def test_psi_of_hand_counted_bins(spark):
+    """1..100 gives ten bins of ten; the current sample has 20 in the first bin and 5 in each of four others."""
+    ref = list(range(1, 101))
+    cur = [1] * 20 + [15] * 5 + [35] * 5 + [55] * 5 + [75] * 5
+    eps = 1e-6
+    shares = [0.5] + [0.125] * 4 + [0.0] * 5
+    want = sum((c + eps - (0.1 + eps)) * np.log((c + eps) / (0.1 + eps)) for c in shares)
+    assert psi_of(spark, ref, cur) == pytest.approx(want, rel=1e-9)
 
 
 def test_psi_empty_and_constant(spark):
@@ -130,10 +123,13 @@ def test_distributed_exact_edges_equal_percentile(spark):
         assert got[f][0] == pytest.approx(list(edges_np), rel=1e-12, abs=1e-12)
 
 
-def test_psi_paths_agree(spark):
-    rng = np.random.default_rng(6)
-    r = spark.createDataFrame([(float(x),) for x in rng.normal(10, 2, 1500).round(1)], "x double")
-    c = spark.createDataFrame([(float(x),) for x in rng.normal(10.5, 2, 1500).round(1)], "x double")
-    local = drift.check_feature_drift(r, c, ["x"]).first()["psi"]
-    dist = drift.check_feature_drift(r, c, ["x"], local_limit=0).first()["psi"]
-    assert dist == pytest.approx(local, rel=1e-12, abs=1e-15)
+def test_exact_edges_without_exchange_reuse(spark):
+    """The edges don't depend on both branches sharing one exchange."""
+    values = spark.range(200_000).selectExpr("'f' AS feature", "cast(pmod(id * 7919, 200000) as double) AS value", "1L AS c")
+    want = [19999.9 * k for k in range(11)]
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            assert drift.exact_edges(values, ["feature"]).first()["edges"] == pytest.approx(want, rel=1e-12)
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")

@@ -56,3 +56,17 @@ def test_feed_stream_late_delivery_replaces_only_its_grain(spark, tmp_path):
     out = {(r["date"].day, r["store_id"]): r["sales"] for r in latest_feed(spark, landing).collect()}
     assert out == {(1, "S1"): 1, (1, "S2"): 1, (2, "S1"): 99, (2, "S2"): 2}
     assert len([d for d in os.listdir(landing) if d.startswith("batch_id=")]) == 2
+
+
+def test_two_deliveries_in_one_run_keep_the_later(spark, tmp_path):
+    src, landing, ckpt = (str(tmp_path / "src"), str(tmp_path / "landing"), str(tmp_path / "ckpt"))
+    for at, value in enumerate((5, 99, 42)):
+        row = [(dt.date(2024, 1, 1), "S1", "A", value, "3.50")]
+        before = {os.path.join(d, f) for d, _, fs in os.walk(src) for f in fs}
+        spark.createDataFrame(row, SALES_DAILY_FEED_RAW).write.mode("append").partitionBy("date").parquet(src)
+        for d, _, fs in os.walk(src):
+            for f in fs:
+                if os.path.join(d, f) not in before:
+                    os.utime(os.path.join(d, f), (1_700_000_000 + at * 60,) * 2)
+    run_feed_stream(spark, src, SALES_DAILY_FEED_RAW, landing, ckpt)
+    assert [r["sales"] for r in latest_feed(spark, landing).collect()] == [42]
