@@ -41,7 +41,7 @@ MAX_VOCABULARY_BYTES = 64_000_000
 WHITE_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 SHORT = 96
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 STEP_CHARS = 500_000
 ID_SPAN = 1 << 24
 NO_RANK = 1 << 60

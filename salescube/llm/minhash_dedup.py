@@ -43,7 +43,7 @@ BATCH = 16
 BLOCK = 512
 BAND_MISS = 1e-6
 PRUNE_MISS = 1e-6
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 
 @dataclass(frozen=True)
