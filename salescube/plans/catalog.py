@@ -19,7 +19,7 @@ from salescube.operators.quality import quality_report
 from salescube.plans.layers import Layers
 from salescube.plans.oracle import q
 from salescube.schemas import (GRAIN, ID_COLUMNS, LAGS, MAX_CATCHUP_DAYS, RAW_SOURCE_COLUMNS,
-                               ROLLING_WINDOWS)
+                               RECENT_ACTIVITY_DAYS, ROLLING_WINDOWS)
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -52,11 +52,13 @@ HALF = "half"
 
 
 @register("melt_wide_sales", q("""
-SELECT c.date, u.store_id, u.item_id, u.dept_id, u.cat_id, u.state_id, CAST(u.sales AS BIGINT) AS sales
-FROM (UNPIVOT raw_sales_wide ON COLUMNS('^d_[0-9]+$') INTO NAME d VALUE sales) u
-JOIN raw_calendar c ON u.d = c.d
+SELECT c.date, p.store_id, p.item_id, i.dept_id, i.cat_id, i.state_id, p.sales
+FROM panel p JOIN (SELECT DISTINCT store_id, item_id, dept_id, cat_id, state_id FROM raw_sales_history) i
+  ON p.store_id = i.store_id AND p.item_id = i.item_id
+JOIN raw_calendar c ON p.date = c.date
 """))
 def melt_wide_sales(spark, sf_dir):
+    """I2 + J5: the wide matrix of all panel days back to rows; days past the calendar go."""
     L = layers(spark, sf_dir)
     return staging.melt_sales(L.raw.sales_wide, L.raw.calendar)
 
@@ -397,14 +399,14 @@ SELECT date, n_predictions, ROUND(mae, 6) AS mae, ROUND(mape, 6) AS mape, ROUND(
 FROM agg_prediction_accuracy_daily WHERE mape IS NOT NULL"""))
 def accuracy_points(spark, sf_dir):
     d = reads.accuracy_points(layers(spark, sf_dir).accuracy_daily)
-    return d.select("date", "n_predictions", *r6("mae", "mape", "rmse"))
+    return d.select("date", "n_predictions", *r6("mae", "mape", "rmse")).orderBy("date")
 
 
 @register("series_accuracy", q("""
 SELECT date, store_id, item_id, predicted_sales, actual_sales FROM fct_prediction_accuracy
 WHERE date > (SELECT MAX(date) FROM fct_prediction_accuracy) - 90"""))
 def series_accuracy(spark, sf_dir):
-    return reads.series_accuracy(layers(spark, sf_dir).prediction_accuracy, 90)
+    return reads.series_accuracy(layers(spark, sf_dir).prediction_accuracy, 90).orderBy(*GRAIN)
 
 
 @register("series_accuracy_summary", q("""
@@ -418,11 +420,16 @@ def series_accuracy_summary(spark, sf_dir):
     return metrics.series_accuracy_summary(acc).select(*ID_COLUMNS, *r6("mae", "mape"), "n")
 
 
+def recently_active(L):
+    return reads.active_series(L.fct_window(F.date_sub(L.last_date, RECENT_ACTIVITY_DAYS)), RECENT_ACTIVITY_DAYS)
+
+
 @register("active_series", q("""
 SELECT store_id, item_id FROM fct_sales, fct_last WHERE date > last_date - 30
 GROUP BY store_id, item_id HAVING SUM(sales) > 0"""))
 def active_series(spark, sf_dir):
-    return reads.active_series(layers(spark, sf_dir).fct_sales, 30)
+    """A3 + R1: only the months of the window are read."""
+    return recently_active(layers(spark, sf_dir))
 
 
 @register("series_history", q("""
@@ -462,8 +469,8 @@ SELECT store_id, item_id,
 FROM (SELECT store_id, item_id FROM fct_sales, fct_last WHERE date > last_date - 30
       GROUP BY store_id, item_id HAVING SUM(sales) > 0)"""))
 def series_labels(spark, sf_dir):
-    """P20 + S5: display labels of the active series (ordered by label at the output edge)."""
-    return reads.series_labels(reads.active_series(layers(spark, sf_dir).fct_sales, 30))
+    """P20 + S5: display labels of the active series (ordered by label)."""
+    return reads.series_labels(recently_active(layers(spark, sf_dir))).orderBy("label")
 
 
 @register("weekday_profile", q("""
@@ -471,7 +478,7 @@ SELECT CAST(isodow(date) - 1 AS INTEGER) AS weekday, dayname(date) AS day_name,
   ROUND(AVG(sales), 6) AS mean_sales FROM fct_sales GROUP BY 1, 2"""))
 def weekday_profile(spark, sf_dir):
     return reads.weekday_profile(layers(spark, sf_dir).fct_sales).select(
-        "weekday", "day_name", *r6("mean_sales"))
+        "weekday", "day_name", *r6("mean_sales")).orderBy("weekday")
 
 
 @register("history_with_predictions", q("""

@@ -88,6 +88,38 @@ def run_log(spark, sf_dir):
                        F.col("metrics.n_train_rows").alias("n_train_rows"))
 
 
+@register("append_runs", q(RUNS_SQL + """
+SELECT trained_at, ROUND(wrmsse, 6) AS wrmsse, ROUND(mape, 6) AS mape, ROUND(rmse, 6) AS rmse,
+  n_train_rows, n_valid_rows FROM model_runs"""))
+def append_runs(spark, sf_dir):
+    """I8: run rows appended as they come, earlier runs first; the table is read back."""
+    runs = model_runs(spark, sf_dir)
+    last = runs.agg(F.max("trained_at")).scalar()
+    path = scratch(spark, "model_runs")
+    io.append(runs.filter(F.col("trained_at") < last), path)
+    io.append(runs.filter(F.col("trained_at") == last), path)
+    return spark.read.parquet(path).select("trained_at", *r6("wrmsse", "mape", "rmse"), "n_train_rows", "n_valid_rows")
+
+
+@register("append_feed", q("SELECT date, store_id, item_id, sales, sell_price FROM raw_sales_daily_feed"))
+def append_feed(spark, sf_dir):
+    """I8 + I15: staged feed days go back to raw time and are appended to the raw feed, day
+    before last day; a declared schema is checked before each append (Q4)."""
+    L = layers(spark, sf_dir)
+    # The raw price text comes from the feed; all else from the staged rows.
+    text = L.raw.sales_daily_feed.select(*GRAIN, "sell_price")
+    raw = (L.stg_sales_daily_feed.select(dates.unshift_days(F.col("date")).alias("date"), "store_id", "item_id", "sales")
+           .join(text, GRAIN, "left"))
+    problems = quality.schema_problems(raw, SALES_DAILY_FEED_RAW)
+    if problems:
+        raise ValueError(f"feed rows: {problems}")
+    last = raw.agg(F.max("date")).scalar()
+    path = scratch(spark, "raw_feed")
+    io.append(raw.filter(F.col("date") < last), path)
+    io.append(raw.filter(F.col("date") == last), path)
+    return spark.read.schema(SALES_DAILY_FEED_RAW).parquet(path)
+
+
 @register("feed_stream", q("""
 SELECT date, store_id, item_id,
   CASE WHEN date = (SELECT MAX(date) FROM stg_sales_daily_feed) THEN sales + 1 ELSE sales END AS sales,
@@ -142,9 +174,9 @@ def train_metrics(spark, sf_dir):
 def batch_scores(spark, sf_dir):
     """M4: one-step-ahead forecast of every series from the trailing 60 days."""
     L = layers(spark, sf_dir)
-    hist = L.fct_window(F.date_sub(L.last_date, 60)).select(*RAW_SOURCE_COLUMNS)
-    # Q5: the serving extract must carry every column training used.
-    quality.require_columns(hist, RAW_SOURCE_COLUMNS, "serving extract")
+    recent = L.fct_window(F.date_sub(L.last_date, 60))
+    # Q5: the table served from must carry every column training used.
+    hist = quality.require_columns(recent, RAW_SOURCE_COLUMNS, "serving extract").select(*RAW_SOURCE_COLUMNS)
     return mdl.predict_next_day(hist, trained(spark, sf_dir)[0])
 
 

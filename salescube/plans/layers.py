@@ -70,14 +70,18 @@ class Layers:
 
     def build_fct_sales_predictions(self) -> DataFrame:
         """Deterministic stand-in for model output: sales 7 rows earlier, last 90 days."""
+        # The panel has a row for each series and day, so as many rows back are as many days.
         w = Window.partitionBy(*ID_COLUMNS).orderBy("date")
-        return (self.fct_sales.select(*GRAIN, "sales")
+        since = F.date_sub(self.last_date, PREDICTION_DAYS + PREDICTION_LAG)
+        return (self.fct_window(since).select(*GRAIN, "sales")
                 .withColumn("predicted_sales", F.lag("sales", PREDICTION_LAG).over(w).cast("double"))
                 .filter(F.col("date") > F.date_sub(self.last_date, PREDICTION_DAYS))
                 .select(*GRAIN, "predicted_sales"))
 
     def build_prediction_accuracy(self) -> DataFrame:
-        return marts.prediction_accuracy(self.fct_sales_predictions, self.fct_sales)
+        days = self.fct_sales_predictions.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        actual = self.fct_window(days.select("lo").scalar(), days.select("hi").scalar())
+        return marts.prediction_accuracy(self.fct_sales_predictions, actual)
 
     def build_accuracy_daily(self) -> DataFrame:
         return marts.accuracy_daily(self.prediction_accuracy)
@@ -117,8 +121,10 @@ class Layers:
 
     @property
     def last_date(self):
-        """Latest fact date (shifted time) as a scalar subquery column."""
-        return self.fct_sales.agg(F.max("date")).scalar()
+        """Latest fact date (shifted time) as a scalar subquery column. The newest month
+        comes from the folder names, so dates are read of that month only."""
+        newest = self.fct_sales.agg(F.max("month_start")).scalar()
+        return self.fct_sales.filter(F.col("month_start") == newest).agg(F.max("date")).scalar()
 
     @cached_property
     def fct_sales_predictions(self) -> DataFrame:

@@ -96,11 +96,6 @@ raw_sell_prices AS (
     CAST(11101 + FLOOR(((f.date - b.d0) + 1) / 7) AS INTEGER) AS wm_yr_wk,
     MIN(f.unit_price) AS sell_price
   FROM line_facts f, bounds b GROUP BY 1, 2, 3),
-raw_sales_wide AS (
-  SELECT h.item_id, h.dept_id, h.cat_id, h.store_id, h.state_id,
-    {", ".join(f"MAX(CASE WHEN (h.date - b.d0) + 1 = {i} THEN h.sales END) AS d_{i}" for i in range(1, 29))}
-  FROM raw_sales_history h, bounds b WHERE h.date < b.d0 + 28
-  GROUP BY 1, 2, 3, 4, 5),
 stg_sales_history AS (
   SELECT date + {OFF} AS date, store_id, item_id, dept_id, cat_id, state_id,
          CAST(sales AS BIGINT) AS sales FROM raw_sales_history),

@@ -30,7 +30,6 @@ from salescube.sources.tables import read_table
 # --- fixed values of the mapping ------------------------------------------
 FEED_DAYS = 14            # trailing panel days that arrive through the feed
 CALENDAR_GAP_DAYS = 7     # calendar stops this many days before the panel end
-WIDE_DAYS = 28            # first panel days pivoted into the wide matrix
 WEEK_BASE = 11101         # wm_yr_wk of calendar day 0
 STATE_BY_REGION = {"AFRICA": "CA", "AMERICA": "TX", "ASIA": "WI"}
 EVENTS = {  # month-day -> (event_name_1, event_type_1)
@@ -214,8 +213,9 @@ class DriverTables:
 
     @cached_property
     def sales_wide(self) -> DataFrame:
-        """First WIDE_DAYS panel days as columns d_1..d_N (one row per series)."""
-        first = self.panel.filter(F.col("date") < F.date_add(self.first_day, WIDE_DAYS))
-        n = self.day_number(F.col("date"))
-        cols = [F.max(F.when(n == i, F.col("sales"))).alias(f"d_{i}") for i in range(1, WIDE_DAYS + 1)]
-        return self._keep("sales_wide", self.with_ids(first).groupBy(*WIDE_ID_COLUMNS).agg(*cols))
+        """All panel days as columns d_1..d_N (one row per series); N is the day span."""
+        span = self.spark.range(1).select(self.day_number(self.last_day)).first()[0]
+        days = [f"d_{i}" for i in range(1, (span or 0) + 1)]
+        d = F.concat(F.lit("d_"), self.day_number(F.col("date")).cast("string"))
+        return self._keep("sales_wide", self.with_ids(self.panel).withColumn("d", d)
+                          .groupBy(*WIDE_ID_COLUMNS).pivot("d", days).agg(F.max("sales")))

@@ -86,6 +86,12 @@ def test_series_weights(spark):
         metrics.dampen(F.col("x"), "cube")
 
 
+def test_log1p_dampening(spark):
+    got = spark.createDataFrame([(0.0,), (math.e - 1,)], "x double").select(
+        metrics.dampen(F.col("x"), "log1p").alias("w")).collect()
+    assert [r["w"] for r in got] == pytest.approx([0.0, 1.0])
+
+
 def test_same_phase_mean_reference_phase(spark):
     vals = list(range(60))
     hist = long_frame(spark, {("CA_1", "A"): vals})

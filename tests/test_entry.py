@@ -1,6 +1,7 @@
 """Driver contract and end-to-end runs on the smallest scale factor."""
 
 import os
+import re
 
 import pytest
 
@@ -24,7 +25,8 @@ def test_entry_runs(spark):
 
 @needs_data
 @pytest.mark.parametrize("name", ["fct_sales", "feature_full", "psi_drift", "feed_stream",
-                                  "replace_predictions", "append_evolve", "retrain_decision"])
+                                  "replace_predictions", "append_evolve", "append_feed", "append_runs",
+                                  "retrain_decision"])
 def test_queries_run_on_smallest_scale(spark, name):
     assert E.queries()[name](spark, SF).count() >= 0
 
@@ -53,3 +55,18 @@ def test_no_cartesian_or_nested_loop_plans(spark):
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+
+
+@needs_data
+def test_trailing_reads_prune_month_folders(spark):
+    for name in ["active_series", "prediction_accuracy", "fct_sales_predictions"]:
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*month_start", plan), name
+
+
+@needs_data
+def test_workers_find_the_package_from_any_folder(spark):
+    """The queries add this repository to the workers' path."""
+    seen = []
+    E.reachable(lambda s, d: seen.append(s.sparkContext.environment["PYTHONPATH"]))(spark, SF)
+    assert E.HERE in seen[0].split(os.pathsep)

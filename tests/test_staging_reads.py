@@ -11,15 +11,17 @@ from salescube.schemas import FCT_SALES, SALES_HISTORY
 
 def test_melt_wide_sales(spark):
     wide = spark.createDataFrame(
-        [("HOBBIES_1_001", "HOBBIES_1", "HOBBIES", "CA_1", "CA", 3, 5),
-         ("HOBBIES_1_002", "HOBBIES_1", "HOBBIES", "CA_1", "CA", 0, 1)],
-        "item_id string, dept_id string, cat_id string, store_id string, state_id string, d_1 long, d_2 long")
-    cal = spark.createDataFrame([("d_1", dt.date(2011, 1, 29)), ("d_2", dt.date(2011, 1, 30))], "d string, date date")
+        [("FOODS_2_007", "FOODS_2", "FOODS", "TX_3", "TX", 11, 0, 4, 8),
+         ("FOODS_2_009", "FOODS_2", "FOODS", "WI_2", "WI", None, 6, 2, 8)],
+        "item_id string, dept_id string, cat_id string, store_id string, state_id string, "
+        "d_1 long, d_2 long, d_3 long, d_4 long")
+    cal = spark.createDataFrame([(f"d_{i}", dt.date(2019, 7, 3 + i)) for i in (1, 2, 3)], "d string, date date")
     out = staging.melt_sales(wide, cal)
-    assert out.count() == 4
+    assert out.count() == 6   # the fourth day is past the calendar
     assert out.columns == ["date", "store_id", "item_id", "dept_id", "cat_id", "state_id", "sales"]
-    r = out.filter((F.col("item_id") == "HOBBIES_1_001") & (F.col("date") == dt.date(2011, 1, 29))).first()
-    assert r["sales"] == 3
+    got = {(r["item_id"], r["date"].day): r["sales"] for r in out.collect()}
+    assert [got["FOODS_2_007", d] for d in (4, 5, 6)] == [11, 0, 4]
+    assert [got["FOODS_2_009", d] for d in (4, 5, 6)] == [None, 6, 2]
 
 
 def test_safe_cast_and_union(spark):
