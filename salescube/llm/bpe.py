@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-from salescube.llm.common import small
+from salescube.llm.common import releasing, small
 
 # The tokenizer file's path is a parameter; this is where the box keeps it.
 VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -335,6 +335,11 @@ def codec_of(content: str) -> Codec:
     return _CODECS[key]
 
 
+def forget_codecs() -> None:
+    _CODECS.clear()
+    _powers.cache_clear()
+
+
 def read_vocabulary(path: str | None = None) -> str:
     path = path or VOCABULARY
     if os.path.getsize(path) > MAX_VOCABULARY_BYTES:
@@ -352,6 +357,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", out
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     kept = [c for c in docs.columns if c not in (text_col, out_col)]
 
+    @releasing(forget_codecs)
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for frame in small(frames, text_col):
@@ -371,6 +377,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ou
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     kept = [c for c in encoded.columns if c not in (ids_col, out_col)]
 
+    @releasing(forget_codecs)
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for frame in few_lists(frames, ids_col):
@@ -411,6 +418,7 @@ def digest(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ke
     new = ["n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [c for c in encoded.columns if c not in new and (keep_ids or c != ids_col)]
 
+    @releasing(forget_codecs)
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for frame in few_lists(frames, ids_col):

@@ -9,10 +9,12 @@ re-run.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +85,28 @@ def small(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000
             at = until
 
 
+def releasing(*forget: Callable[[], None]):
+    """A function over Arrow batches that leaves no caches behind at the end of its task.
+
+    Python workers are used again by later tasks, of other operators too; what
+    one of them keeps would add to the needs of the next.
+    """
+    def deco(fn):
+        @wraps(fn)
+        def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from fn(frames)
+            finally:
+                for clear in forget:
+                    clear()
+                pa.default_memory_pool().release_unused()
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+                if trim is not None:
+                    trim(0)
+        return run
+    return deco
+
+
 def ranged(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Range-partition by ``order``, sort, and store with the partition number ``_pid``.
 

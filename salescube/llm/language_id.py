@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescube.llm.common import small
+from salescube.llm.common import releasing, small
 
 UNDETERMINED = "und"
 
@@ -135,6 +135,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def document_frequencies(docs: DataFrame, text_col: str, buckets: int) -> np.ndarray:
     """Documents that have each bucket, over all rows; with their number at the end."""
+    @releasing()
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets + 1, np.int64)
         for frame in small(frames, text_col):
@@ -206,6 +207,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in (pred_col, score_col)]
 
+    @releasing()
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in small(frames, text_col):
             got = [shared.value.predict(t) for t in frame.column(text_col).to_pylist()]

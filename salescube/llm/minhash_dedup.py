@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescube.llm.common import small, stored
+from salescube.llm.common import releasing, small, stored
 from salescube.llm.components import connected_components
 
 HASHES = 128
@@ -90,6 +90,10 @@ class _WordHashes(dict):
 _WORDS = _WordHashes()
 
 
+def forget_words() -> None:
+    _WORDS.clear()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -135,6 +139,7 @@ def _set_hash(s: np.ndarray) -> tuple[int, int]:
 
 def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
     """(doc_id, n, h1, h2, keys): set size, 128 bits of hash of the set, a key for each band."""
+    @releasing(forget_words)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
         step = 4 * plan.rows
@@ -158,6 +163,7 @@ def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
 
 def _candidates(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
     """Stored (cls, n, sig, text) of the wanted classes (cls, h1, h2)."""
+    @releasing(forget_words)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
         for batch in small(batches, "text"):
@@ -206,6 +212,7 @@ def _verified(pairs: DataFrame, cands: DataFrame, plan: Plan) -> DataFrame:
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
 
+    @releasing(forget_words)
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, "text"):
             data = [shingles(t, plan.words).tobytes() for t in batch.column("text").to_pylist()]
