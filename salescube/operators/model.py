@@ -5,13 +5,15 @@ through ``StringIndexer(handleInvalid="keep")`` fitted on train only, so unseen
 categories at scoring time map to the extra index. The store and item keys,
 whose vocabularies grow with the data, are target-encoded with a
 *join*: smoothed per-key means of the training target are a table computed by
-a distributed ``groupBy``, stored next to the pipeline and joined onto train,
-validation and scoring rows (unseen items get the prior). No vocabulary of the
+a distributed ``groupBy``, stored next to the pipeline and joined onto
+validation and scoring rows (unseen items get the prior). A training row takes
+the mean of the days outside its own fold, so its target is not in its feature. No vocabulary of the
 growing key is ever held on the driver, which an indexer or MLlib's
 TargetEncoder model would do.
 
-Training drops rows with a null feature (as the application does); scoring
-keeps them (``handleInvalid="keep"`` on the assembler). Early stopping is the
+Null prices take the series' last known one, in training as in scoring, so that a
+price says nothing about the day's sales. Training drops rows with a null feature
+(as the application does); scoring keeps them (``handleInvalid="keep"`` on the assembler). Early stopping is the
 patience rule on ``evaluateEachIteration``, applied by a refit at the best count.
 """
 
@@ -35,6 +37,7 @@ MAX_ROUNDS = 500
 LEARNING_RATE = 0.05
 FIRST_ROUNDS = 40
 ENCODING_SMOOTHING = 10.0   # pseudo-count pulling rare items toward the prior
+ENCODING_FOLDS = 5          # training days are dealt to so many folds by a hash of the date
 
 
 @dataclass
@@ -66,6 +69,25 @@ def fit_encoding(train: DataFrame, col: str, label: str = "sales",
     return enc.filter(F.col(col).isNotNull()).unionByName(prior_row)
 
 
+def out_of_fold(train: DataFrame, cols: list[str], label: str = "sales",
+                smoothing: float = ENCODING_SMOOTHING) -> DataFrame:
+    """The training rows with ``<col>_enc`` from the rows of the other folds only.
+
+    Null keys, and keys that no other fold has, take the global mean.
+    """
+    y = F.col(label).cast("double")
+    prior = train.agg(F.avg(y)).scalar()
+    out = train.withColumn("_fold", F.pmod(F.xxhash64("date"), F.lit(ENCODING_FOLDS)))
+    for col in cols:
+        parts = out.groupBy(col, "_fold").agg(F.count(y).alias("n"), F.sum(y).alias("s"))
+        key = Window.partitionBy(col)   # at most ENCODING_FOLDS rows
+        n, s = F.sum("n").over(key) - F.col("n"), F.sum("s").over(key) - F.col("s")
+        enc = parts.select(col, "_fold", ((s + F.lit(smoothing) * prior) / (n + F.lit(smoothing))).alias(f"{col}_enc"))
+        out = (out.join(enc.filter(F.col(col).isNotNull()), [col, "_fold"], "left")
+               .withColumn(f"{col}_enc", F.coalesce(F.col(f"{col}_enc"), prior)))
+    return out.drop("_fold")
+
+
 def apply_encodings(df: DataFrame, encodings: dict[str, DataFrame]) -> DataFrame:
     """Join each encoding table on its key; unseen keys take the prior."""
     for col, enc in encodings.items():
@@ -126,14 +148,14 @@ def boost(gbt: GBTRegressor, train: DataFrame, valid: DataFrame, max_iter: int =
 def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: str | None = None,
           max_iter: int = MAX_ROUNDS, seed: int = 7, keep=None,
           learning_rate: float = LEARNING_RATE) -> TrainResult:
-    """W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3).
+    """Carried prices -> W5 -> P18 -> W12 -> P13 -> M1 -> W11 -> M2 (M3).
 
     `keep(name, build)` stores intermediate tables (e.g. ``Layers._keep``): the
     featured train / valid sets and the encodings, so the fits, the boosting
     passes and the evaluation read Parquet instead of re-running windows.
     """
     keep = keep or (lambda name, build: build())
-    featured = features.build_features(history)
+    featured = features.build_features(carry_price(history))
     feats, categorical = features.feature_columns(featured)
     numeric = [c for c in feats if c not in categorical]
     encoded = [c for c in categorical if c in TARGET_ENCODED]
@@ -141,7 +163,7 @@ def train(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: st
     tr = keep("train_set", lambda: tr.dropna(subset=feats))
     va = keep("valid_set", lambda: va.dropna(subset=feats))
     encodings = {c: keep(f"encoding_{c}", lambda c=c: fit_encoding(tr, c)) for c in encoded}
-    tr_e, va_e = apply_encodings(tr, encodings), apply_encodings(va, encodings)
+    tr_e, va_e = out_of_fold(tr, encoded), apply_encodings(va, encodings)
     weight_col = None
     if weight_dampening is not None:
         total = F.sum(F.col("sales").cast("double")).over(Window.partitionBy(*ID_COLUMNS))

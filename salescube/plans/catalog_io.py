@@ -8,20 +8,21 @@ the rows that landed. Model queries have no SQL oracle (rows-only check).
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from salescube.functions import dates
 from salescube.operators import model as mdl
 from salescube.plans.catalog import MAPPING, layers, r6, register
-from salescube.plans.catalog_jobs import DRIFT_FEATURES, RUNS_SQL, model_runs
-from salescube.plans.oracle import q
+from salescube.plans.catalog_jobs import DRIFT_FEATURES, RUNS_SQL, build_model_runs, model_monitoring, model_runs
+from salescube.plans.oracle import features_sql, q
 from salescube.schemas import (BACKFILL_DAYS, GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FEED_RAW,
                                TRAINING_LOOKBACK_DAYS)
 from salescube.session import shared_path
 from salescube.sources import io
 from salescube.streaming.feed import latest_feed, run_feed_stream
-from salescube.operators import quality, staging
+from salescube.operators import drift, features, marts, quality, staging
 
 LEGACY_FEED_DAYS = 7     # first feed days were written before the price column existed
 REPLACE_DAYS = 14        # trailing prediction days a backfill rewrites
@@ -170,6 +171,82 @@ def train_metrics(spark, sf_dir):
                                             "best_iteration", "n_train_rows", "n_valid_rows")
 
 
+# The rows that the model is fitted and validated on, from the driver's tables.
+MODEL_ROWS_SQL = """,
+model_extract AS (
+  SELECT f.date, store_id, item_id, sales, wday, year, event_name_1, event_type_1, snap_flag,
+    LAST_VALUE(sell_price IGNORE NULLS) OVER (PARTITION BY store_id, item_id ORDER BY f.date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sell_price
+  FROM fct_sales f, fct_last WHERE f.date BETWEEN last_date - 730 AND last_date),
+""" + features_sql("model_extract", "model_features") + """
+model_rows AS (
+  SELECT f.*, f.date > m.cutoff AS valid FROM model_features f, model_split m
+  WHERE sales_lag_28 IS NOT NULL AND sales_roll_std_7 IS NOT NULL AND sales_roll_std_28 IS NOT NULL
+    AND sell_price IS NOT NULL),
+prior AS (SELECT AVG(CAST(sales AS DOUBLE)) AS prior FROM model_rows WHERE NOT valid)
+"""
+
+
+def _encoding_sql(col: str) -> str:
+    return f"""
+SELECT '{col}' AS key_column, {col} AS key,
+  ROUND((COUNT(*) * AVG(CAST(sales AS DOUBLE)) + {mdl.ENCODING_SMOOTHING} * MAX(prior)) / (COUNT(*) + {mdl.ENCODING_SMOOTHING}), 6) AS enc
+FROM model_rows, prior WHERE NOT valid GROUP BY {col}
+UNION ALL SELECT '{col}', NULL, ROUND(prior, 6) FROM prior"""
+
+
+@register("target_encodings", q(MODEL_ROWS_SQL + " UNION ALL ".join(map(_encoding_sql, mdl.TARGET_ENCODED))))
+def target_encodings(spark, sf_dir):
+    """M1: the store and item encodings that the model scores with; the null key holds the prior."""
+    parts = [enc.select(F.lit(col).alias("key_column"), F.col(col).alias("key"), *r6("enc"))
+             for col, enc in trained(spark, sf_dir)[0].encodings.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("model_split_counts", q(MODEL_ROWS_SQL + """
+SELECT CAST(COUNT(*) FILTER (WHERE NOT valid) AS BIGINT) AS n_train_rows,
+  CAST(COUNT(*) FILTER (WHERE valid) AS BIGINT) AS n_valid_rows FROM model_rows"""))
+def model_split_counts(spark, sf_dir):
+    """P13 + W12 + A17: rows the model was fitted and validated on."""
+    return trained(spark, sf_dir)[1].select("n_train_rows", "n_valid_rows")
+
+
+def _backtest(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    targets = dates.backfill_targets(spark, L.last_date, BACKFILL_DAYS)
+    hist = L.fct_window(F.date_sub(L.last_date, BACKFILL_DAYS + SERVING_HISTORY_DAYS))
+    return mdl.backtest(hist.select(*RAW_SOURCE_COLUMNS), targets, trained(spark, sf_dir)[0])
+
+
+@register("model_accuracy_daily", None)
+def model_accuracy_daily(spark, sf_dir):
+    """M5 -> I9 -> J2 -> A2: the model's backtest replaces the days of a prediction table,
+    whose daily accuracy against the fact is returned."""
+    L = layers(spark, sf_dir)
+    path = scratch(spark, "model_predictions")
+    io.replace_partitions(_backtest(spark, sf_dir), path)
+    preds = spark.read.parquet(path)
+    days = preds.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    actual = L.fct_window(days.select("lo").scalar(), days.select("hi").scalar())
+    return marts.accuracy_daily(marts.prediction_accuracy(preds, actual))
+
+
+@register("model_retrain_decision", None)
+def model_retrain_decision(spark, sf_dir):
+    """M3 -> I8 -> A15: the model's run and the drift checks are appended to their tables,
+    and the decision reads the latest run, which is the model's."""
+    metrics_row = trained(spark, sf_dir)[1]
+    base = build_model_runs(spark, sf_dir)
+    later = base.agg(F.max("trained_at")).scalar() + F.make_dt_interval(hours=F.lit(1))
+    run = metrics_row.select(later.alias("trained_at"), "wrmsse", "mape", "rmse", "n_train_rows", "n_valid_rows")
+    runs_path, checks_path = scratch(spark, "model_runs"), scratch(spark, "model_monitoring")
+    io.append(base, runs_path)
+    io.append(run, runs_path)
+    io.append(model_monitoring(spark, sf_dir), checks_path)
+    dec = drift.retrain_decision(drift.latest_batch(spark.read.parquet(checks_path)), spark.read.parquet(runs_path))
+    return dec.select("n_drifted", "drift_trigger", *r6("latest_wrmsse"), "metric_trigger", "retrain")
+
+
 @register("batch_scores", None)
 def batch_scores(spark, sf_dir):
     """M4: one-step-ahead forecast of every series from the trailing 60 days."""
@@ -183,20 +260,16 @@ def batch_scores(spark, sf_dir):
 @register("backtest_scores", None)
 def backtest_scores(spark, sf_dir):
     """M5: backtest of the last 90 actual dates with features built once."""
-    L = layers(spark, sf_dir)
-    targets = dates.backfill_targets(spark, L.last_date, BACKFILL_DAYS)
-    hist = L.fct_window(F.date_sub(L.last_date, BACKFILL_DAYS + SERVING_HISTORY_DAYS))
-    return mdl.backtest(hist.select(*RAW_SOURCE_COLUMNS), targets, trained(spark, sf_dir)[0])
+    return _backtest(spark, sf_dir)
 
 
 @register("score_rows", None)
 def score_rows(spark, sf_dir):
-    """M6: score caller-supplied feature rows (the stored feature table's last day);
+    """M6: score caller-supplied feature rows (the last day's, prices carried);
     only the model's own feature columns are used (P17)."""
     L = layers(spark, sf_dir)
-    from salescube.operators import features as feat_ops
-    feats = L._keep("features", lambda: feat_ops.build_features(L.fct_sales))
-    rows = feats.filter(F.col("date") == L.last_date)
+    recent = L.fct_window(F.date_sub(L.last_date, SERVING_HISTORY_DAYS)).select(*RAW_SOURCE_COLUMNS)
+    rows = features.build_features(mdl.carry_price(recent)).filter(F.col("date") == L.last_date)
     model, _, cols = trained(spark, sf_dir)
     return mdl.score(model, rows.select(*GRAIN, *[c for c in cols if c not in GRAIN]))
 

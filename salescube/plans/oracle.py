@@ -76,8 +76,11 @@ raw_sales_history AS (
   FROM panel p, bounds WHERE p.date <= bounds.d1 - 14),
 raw_sales_daily_feed AS (
   SELECT p.date, p.store_id, p.item_id, p.sales,
-    CASE WHEN day(p.date) % 2 = 0 THEN '3.50' ELSE 'n/a' END AS sell_price
-  FROM panel p, bounds WHERE p.date > bounds.d1 - 14),
+    CASE WHEN day(p.date) % 2 = 0 THEN CAST(CAST(FLOOR(m.lowest) AS BIGINT) AS VARCHAR) ELSE 'n/a' END AS sell_price
+  FROM panel p
+  JOIN (SELECT store_id, item_id, MIN(unit_price) AS lowest FROM line_facts GROUP BY store_id, item_id) m
+    ON p.store_id = m.store_id AND p.item_id = m.item_id
+  CROSS JOIN bounds WHERE p.date > bounds.d1 - 14),
 raw_calendar AS (
   SELECT 'd_' || CAST((d.date - b.d0) + 1 AS VARCHAR) AS d, d.date,
     CAST(11101 + FLOOR(((d.date - b.d0) + 1) / 7) AS INTEGER) AS wm_yr_wk,

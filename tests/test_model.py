@@ -71,3 +71,19 @@ def test_next_day_takes_the_last_price(spark):
     hist = seasonal_history(spark, n_series=1, n_days=40).withColumn(
         "sell_price", F.when(F.dayofmonth("date") < 20, 2.5))
     assert mdl.carry_price(hist).where("sell_price is null").count() == 0
+
+
+def test_training_encodings_leave_the_own_fold_out(spark):
+    """Of a store's rows only those on days of other folds count; a key of one fold takes the global mean."""
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=k), "S", "A", 10 * k) for k in range(12)]
+    rows += [(dt.date(2024, 1, 1), "T", "A", 6), (dt.date(2024, 1, 1), None, "A", 6)]
+    train = spark.createDataFrame(rows, "date date, store_id string, item_id string, sales long")
+    fold = {r["date"]: r["f"] for r in train.select(
+        "date", F.pmod(F.xxhash64("date"), F.lit(mdl.ENCODING_FOLDS)).alias("f")).collect()}
+    prior = sum(r[3] for r in rows) / len(rows)
+    got = mdl.out_of_fold(train, ["store_id"]).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        others = [y for d, s, _, y in rows if s == r["store_id"] and fold[d] != fold[r["date"]]]
+        want = (sum(others) + 10 * prior) / (len(others) + 10) if r["store_id"] else prior
+        assert abs(r["store_id_enc"] - want) < 1e-9
