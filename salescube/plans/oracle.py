@@ -74,11 +74,16 @@ raw_sales_history AS (
          ELSE p.store_id END AS state_id,
     p.sales
   FROM panel p, bounds WHERE p.date <= bounds.d1 - 14),
+raw_sell_prices AS (
+  SELECT f.store_id, f.item_id,
+    CAST(11101 + FLOOR(((f.date - b.d0) + 1) / 7) AS INTEGER) AS wm_yr_wk,
+    MIN(f.unit_price) AS sell_price
+  FROM line_facts f, bounds b GROUP BY 1, 2, 3),
 raw_sales_daily_feed AS (
   SELECT p.date, p.store_id, p.item_id, p.sales,
-    CASE WHEN day(p.date) % 2 = 0 THEN CAST(CAST(FLOOR(m.lowest) AS BIGINT) AS VARCHAR) ELSE 'n/a' END AS sell_price
+    CASE WHEN day(p.date) % 2 = 0 THEN CAST(CAST(FLOOR(ROUND(m.usual, 6)) AS BIGINT) AS VARCHAR) ELSE 'n/a' END AS sell_price
   FROM panel p
-  JOIN (SELECT store_id, item_id, MIN(unit_price) AS lowest FROM line_facts GROUP BY store_id, item_id) m
+  JOIN (SELECT store_id, item_id, MEDIAN(sell_price) AS usual FROM raw_sell_prices GROUP BY store_id, item_id) m
     ON p.store_id = m.store_id AND p.item_id = m.item_id
   CROSS JOIN bounds WHERE p.date > bounds.d1 - 14),
 raw_calendar AS (
@@ -94,11 +99,6 @@ raw_calendar AS (
     CAST(day(d.date) % 3 = 0 AS BIGINT) AS snap_tx,
     CAST(day(d.date) >= 20 AS BIGINT) AS snap_wi
   FROM days d, bounds b WHERE d.date <= b.d1 - 7),
-raw_sell_prices AS (
-  SELECT f.store_id, f.item_id,
-    CAST(11101 + FLOOR(((f.date - b.d0) + 1) / 7) AS INTEGER) AS wm_yr_wk,
-    MIN(f.unit_price) AS sell_price
-  FROM line_facts f, bounds b GROUP BY 1, 2, 3),
 stg_sales_history AS (
   SELECT date + {OFF} AS date, store_id, item_id, dept_id, cat_id, state_id,
          CAST(sales AS BIGINT) AS sales FROM raw_sales_history),

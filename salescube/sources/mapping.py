@@ -36,7 +36,7 @@ EVENTS = {  # month-day -> (event_name_1, event_type_1)
     "12-25": ("Christmas", "National"),
     "02-14": ("ValentinesDay", "Cultural"),
 }
-FEED_PRICE_ODD_DAY = "n/a"   # even days: the series' lowest unit price, whole units
+FEED_PRICE_ODD_DAY = "n/a"   # even days: the series' median weekly price, whole units
 # ---------------------------------------------------------------------------
 
 
@@ -173,10 +173,11 @@ class DriverTables:
     @cached_property
     def sales_daily_feed(self) -> DataFrame:
         cutoff = F.date_sub(self.last_day, FEED_DAYS)
-        lowest = self.grain_facts.groupBy(*ID_COLUMNS).agg(
-            F.floor(F.min("min_unit_price")).cast("long").cast("string").alias("lowest"))
-        price = F.when(F.dayofmonth("date") % 2 == 0, F.col("lowest")).otherwise(F.lit(FEED_PRICE_ODD_DAY))
-        return (self.panel.filter(F.col("date") > cutoff).join(lowest, ID_COLUMNS)
+        # A series has one price a week, so the median's group is bounded by the day span.
+        usual = self.sell_prices.groupBy(*ID_COLUMNS).agg(
+            F.floor(F.round(F.median("sell_price"), 6)).cast("long").cast("string").alias("usual"))
+        price = F.when(F.dayofmonth("date") % 2 == 0, F.col("usual")).otherwise(F.lit(FEED_PRICE_ODD_DAY))
+        return (self.panel.filter(F.col("date") > cutoff).join(usual, ID_COLUMNS)
                 .select("date", "store_id", "item_id", "sales", price.alias("sell_price")))
 
     @cached_property
