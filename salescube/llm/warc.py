@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescube.llm.common import scratch_path, small, stored
@@ -143,19 +143,23 @@ def _open_fs(folder: str):
     return pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
 
 
+def _payload_digest(min_bytes: int) -> Column:
+    """SHA-256 of a payload of at least so many bytes, else null."""
+    html = F.coalesce("html", F.lit("")).cast("binary")
+    return F.when(F.octet_length(html) >= min_bytes, F.sha2(html, 256))
+
+
 def first_copies(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload an earlier page id has.
+    """(copy_id, copy_digest, refers_to) of the payloads that an earlier page id has.
 
     Only digests and ids are shuffled; a payload that a third of all pages share
     is one row after the partial aggregate, and skew splits the join.
     """
-    html = F.coalesce("html", F.lit("")).cast("binary")
-    digests = (pages.where(F.octet_length(html) >= min_bytes)
-               .select("page_id", F.sha2(html, 256).alias("digest")))
+    digests = pages.select("page_id", _payload_digest(min_bytes).alias("digest")).where("digest is not null")
     digests = stored(digests, "digests")
     firsts = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     return (digests.join(firsts, "digest").where("page_id > refers_to")
-            .select(F.col("page_id").alias("copy_id"), "refers_to").distinct())
+            .select(F.col("page_id").alias("copy_id"), F.col("digest").alias("copy_digest"), "refers_to").distinct())
 
 
 INDEX = "page_id long, bundle string, frame int, start long, packed long, plain long, offset long"
@@ -171,7 +175,10 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES,
     has the payload. Other columns are not read. An empty table writes nothing.
     """
     rows = pages.select("page_id", "url", "html")
-    joined = rows.join(first_copies(rows), F.col("page_id") == F.col("copy_id"), "left").drop("copy_id")
+    # Rows that repeat an id may differ in payload, so a copy is known by both.
+    digested = rows.withColumn("digest", _payload_digest(MIN_REVISIT_BYTES))
+    same = (F.col("page_id") == F.col("copy_id")) & (F.col("digest") == F.col("copy_digest"))
+    joined = digested.join(first_copies(rows), same, "left").select(*rows.columns, "refers_to")
 
     def write(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open_fs(folder)

@@ -214,6 +214,21 @@ def test_archives_round_trip(spark):
     assert warc.warc_round_trip(df.limit(0)).count() == 0
 
 
+def test_payloads_of_a_repeated_page_id_are_told_apart(spark):
+    a, b, c = "a" * 150, "b" * 150, "c" * 150
+    rows = [(3, "u", a), (5, "u", a), (5, "u", b), (4, "u", c), (7, "u", a), (7, "u", c), (7, "u", c)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    index = warc.write_bundles(df, folder)
+    got = [(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_bundles(index, folder).collect()]
+    refers = [None, 3, None, None, 3, 4, 4]
+    want = [(i, hashlib.sha256(h.encode()).hexdigest(), "revisit" if f else "response", f)
+            for (i, _, h), f in zip(rows, refers)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    some = warc.read_pages(index, folder, spark.createDataFrame([(5,)], "page_id long")).collect()
+    assert [bytes(r.payload).decode() for r in some if r.record_type == "response"] == [b] and len(some) == 2
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(200, 200), (None, 3)]
