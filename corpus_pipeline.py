@@ -36,9 +36,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    copies = minhash_dedup.near_duplicates(docs, NEAR).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies the document with the smallest id stays.
+
+    A row goes by its id and 128 bits of hash of its text: another text under the same id is no copy.
+    """
+    key = ["__t1", "__t2"]
+    marked = docs.withColumn("__t1", F.xxhash64("text")).withColumn("__t2", F.xxhash64(F.lit(1), F.col("text")))
+    copies = (minhash_dedup.near_duplicates(marked, NEAR, carry=key).where(~F.col("kept"))
+              .select("doc_id", *key).distinct())
+    return marked.join(copies, ["doc_id", *key], "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ with the rows of the buckets of step 2.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from salescube.llm.common import releasing, small, stored
 from salescube.llm.components import connected_components
@@ -137,8 +138,8 @@ def _set_hash(s: np.ndarray) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(data, 1) - (1 << 63), xxhash.xxh64_intdigest(data, 2) - (1 << 63)
 
 
-def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, n, h1, h2, keys): set size, 128 bits of hash of the set, a key for each band."""
+def _sketches(docs: DataFrame, plan: Plan, carry: list[str]) -> DataFrame:
+    """(doc_id, *carry, n, h1, h2, keys): set size, 128 bits of hash of the set, a key for each band."""
     @releasing(forget_words)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
@@ -153,35 +154,40 @@ def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
                 keys.append([xxhash.xxh64_intdigest(sig[k * step:(k + 1) * step], k) - (1 << 63)
                              for k in range(plan.bands)] if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([h for h, _ in hashes], pa.int64()),
+                [*[batch.column(c) for c in own], pa.array(n, pa.int64()), pa.array([h for h, _ in hashes], pa.int64()),
                  pa.array([h for _, h in hashes], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n", "h1", "h2", "keys"])
+                [*own, "n", "h1", "h2", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
+    own = ["doc_id", *carry]
+    schema = docs.select(*own).schema
+    for c, kind in (("n", "long"), ("h1", "long"), ("h2", "long"), ("keys", ArrayType(LongType()))):
+        schema = schema.add(c, kind)
+    return docs.select(*own, "text").mapInArrow(run, schema)
 
 
 def _candidates(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
-    """Stored (cls, n, sig, text) of the wanted classes (cls, h1, h2)."""
+    """Stored (cls, n, sig, text) of the wanted classes (cls, doc_id, h1, h2), by a text of their least id each."""
     @releasing(forget_words)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(plan.hashes)
         for batch in small(batches, "text"):
-            n, sig, own = [], [], []
-            for text, h1, h2 in zip(*[batch.column(c).to_pylist() for c in ("text", "h1", "h2")]):
+            n, sig, hashes = [], [], []
+            for text in batch.column("text").to_pylist():
                 s = shingles(text, plan.words)
-                own.append(_set_hash(s) == (h1, h2))  # rows that repeat an id may differ in text
+                hashes.append(_set_hash(s))
                 n.append(len(s))
                 sig.append(signature(s, a, b))
-            keep = pa.array(own, pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [c.filter(keep) for c in (batch.column("cls"), pa.array(n, pa.int64()),
-                                          pa.array(sig, pa.binary()), batch.column("text"))],
-                ["cls", "n", "sig", "text"])
+                [batch.column("doc_id"), pa.array([h for h, _ in hashes], pa.int64()),
+                 pa.array([h for _, h in hashes], pa.int64()), pa.array(n, pa.int64()),
+                 pa.array(sig, pa.binary()), batch.column("text")],
+                ["doc_id", "h1", "h2", "n", "sig", "text"])
 
-    rows = docs.join(wanted, F.col("doc_id") == F.col("cls")).select("cls", "text", "h1", "h2")
-    found = rows.mapInArrow(run, "cls long, n long, sig binary, text string")
-    return stored(found.dropDuplicates(["cls"]), "candidates")
+    # Rows that repeat an id may differ in text: the id finds the rows, the set's hash the class.
+    rows = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = rows.mapInArrow(run, "doc_id long, h1 long, h2 long, n long, sig binary, text string")
+    key = ["doc_id", "h1", "h2"]
+    return stored(found.dropDuplicates(key).join(wanted, key).select("cls", "n", "sig", "text"), "candidates")
 
 
 def _signature_matrix(column, hashes: int) -> np.ndarray:
@@ -325,35 +331,42 @@ def _joining_links(bands: DataFrame, cands: DataFrame, comps: DataFrame, plan: P
                   "joining-links")
 
 
-def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text",
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, *carry) for every row.
 
     Null, empty and blank texts have no shingles and link with nothing. Rows
     with a null id have a null component and are kept. Rows that repeat an id
     are documents of their own: with the same text they share a component, with
-    different texts each has its text's component. Whole texts count. Other columns are not read; no rows give
-    no rows.
+    different texts each has its text's component. A component's id is its least
+    doc_id, and all of its rows of that id are kept; components whose least
+    doc_id is the same share that number only. Whole texts count. Columns of
+    ``carry`` come back as they are, others are not read; no rows give no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = stored(_sketches(rows, plan), "sketches")
+    carry = list(carry)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    sketches = stored(_sketches(rows, plan, carry), "sketches")
     linked = sketches.where("n > 0 and doc_id is not null")
-    heads = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("cls"))
-    members = stored(linked.select("doc_id", "n", "h1", "h2").join(heads, ["h1", "h2"])
-                     .select("doc_id", "n", "cls", "h1", "h2"), "members")
-    owners = members.where("doc_id = cls").select("cls", "h1", "h2").distinct()
-    every = (linked.join(owners.withColumnRenamed("cls", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")
-             .select(F.col("doc_id").alias("cls"), F.posexplode("keys").alias("band", "key")))
+    # A class is a distinct set under a number of its own, in the order of its least doc_id.
+    classes = stored(linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).orderBy("doc_id", "h1", "h2")
+                     .withColumn("cls", F.monotonically_increasing_id()), "classes")
+    every = (linked.select("doc_id", "h1", "h2", "keys").join(classes, ["doc_id", "h1", "h2"])
+             .select("cls", F.posexplode("keys").alias("band", "key")))
     # Most buckets hold one class; only the others are kept.
     shared = every.groupBy("band", "key").agg(F.min("cls").alias("c0"), F.max("cls").alias("c1")).where("c0 <> c1")
     bands = stored(every.join(shared, ["band", "key"], "left_semi").distinct(), "bands")
-    reps = _candidates(rows, owners.join(bands.select("cls").distinct(), "cls", "left_semi"), plan)
+    reps = _candidates(rows, classes.join(bands.select("cls").distinct(), "cls", "left_semi"), plan)
 
     links = _verified(_star_pairs(bands, reps.select("cls", "sig"), plan), reps, plan)
     more = _joining_links(bands, reps, connected_components(links), plan)
     comps = connected_components(links.unionByName(more))
-    found = (members.join(comps, F.col("cls") == F.col("node"), "left")
-             .select("doc_id", "n", F.coalesce("component", "cls").alias("component_id")))
-    none = sketches.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    # The first class of a component has its least doc_id.
+    least = comps.join(classes.select(F.col("cls").alias("component"), F.col("doc_id").alias("least")), "component")
+    named = (classes.join(least, F.col("cls") == F.col("node"), "left")
+             .select("h1", "h2", F.coalesce("least", "doc_id").alias("component_id")))
+    found = linked.select("doc_id", "n", "h1", "h2", *carry).join(named, ["h1", "h2"]).drop("h1", "h2")
+    none = (sketches.where("n = 0 or doc_id is null")
+            .select("doc_id", "n", *carry, F.col("doc_id").alias("component_id")))
     return (found.unionByName(none)
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *carry))

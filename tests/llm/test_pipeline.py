@@ -35,3 +35,12 @@ def test_stages_in_order(spark):
     mixed = sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in seen["mixing"].collect())
     assert mixed == sorted(r.decoded_sha256 for r in seen["bpe"].collect())
     assert seen["bpe"].where("n_tokens <> size(ids)").isEmpty()
+
+
+def test_near_dedup_stage_drops_copies_and_not_their_ids(spark):
+    t = " ".join(f"t{i}" for i in range(60))
+    u = " ".join(f"u{i}" for i in range(60))
+    rows = [(1, t, 0), (5, t + " x", 1), (5, u, 2), (8, u + " y", 3), (None, t, 4), (9, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, nr int")
+    out = P.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns and sorted(r.nr for r in out.collect()) == [0, 2, 4, 5]

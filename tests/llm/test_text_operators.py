@@ -79,6 +79,18 @@ def test_near_duplicates_of_nothing(nothing):
     assert minhash_dedup.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("plan", [minhash_dedup.Plan(), minhash_dedup.Plan(5, 80)])
+def test_texts_of_a_repeated_id_are_told_apart(spark, plan):
+    rng = random.Random(12)
+    t, u, v = (" ".join(words(rng, 80)) for _ in range(3))
+    # Near T, unrelated, near V; 5 is the least id of two groups and 7 of none; rows repeat as well.
+    rows = [(1, t), (5, t + " x"), (5, u), (5, v), (5, v), (7, u + " y"), (7, v + " z"), (7, t + " w"), (9, v), (7, "alone " + u[::-1])]
+    want = [1, 1, 5, 5, 5, 5, 5, 1, 5, 7]
+    docs = spark.createDataFrame([(*r, nr) for nr, r in enumerate(rows)], "doc_id long, text string, nr int")
+    got = sorted(minhash_dedup.near_duplicates(docs, plan, carry=["nr"]).collect(), key=lambda r: r.nr)
+    assert [(r.doc_id, r.component_id, r.kept) for r in got] == [(i, c, i == c) for (i, _), c in zip(rows, want)]
+
+
 def test_chain_links_within_a_large_group_are_found(spark):
     """Each text is close to the next only, so the group is no star around its smallest id."""
     base = [f"w{i}" for i in range(120)]
