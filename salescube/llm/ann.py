@@ -256,11 +256,12 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, target: float = TARGE
     """
     vectors = keyed(rows, id_col, vec_col).withColumn("dim", F.size("vec"))
     first = Window.partitionBy("h1", "h2").orderBy("vec_id")
-    # Of a class only the k + 1 smallest ids can be among the k nearest of any row.
-    heads = (vectors.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1))
-    classes = stored(heads.groupBy("h1", "h2", "dim").agg(
-        F.min("vec_id").alias("class_id"), F.sort_array(F.collect_set("vec_id")).alias("ids"),
-        F.min_by("vec", "vec_id").alias("vec")), "ann-classes")
+    # Of a class only the k + 1 smallest ids can be among the k nearest of any row; a repeated row is one id.
+    ids = (vectors.select("h1", "h2", "vec_id").distinct()
+           .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
+           .groupBy("h1", "h2").agg(F.min("vec_id").alias("class_id"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    heads = vectors.groupBy("h1", "h2", "dim").agg(F.min_by("vec", "vec_id").alias("vec"))
+    classes = stored(heads.join(ids, ["h1", "h2"]), "ann-classes")
     queries = vectors.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "h1", "h2").distinct()
     queries = stored(queries.join(classes.select("h1", "h2", F.col("class_id").alias("query_class")), ["h1", "h2"])
                      .select("query_id", "query_class"), "ann-query-ids")

@@ -95,6 +95,22 @@ def test_nearest_is_exact_on_one_leaf_and_recalls_on_many(spark):
     assert ann.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_repeated_rows_hide_no_copies(spark):
+    """Each row of a hot vector twice, and one id of it many times."""
+    rng = np.random.default_rng(3)
+    x = {i: rng.standard_normal(8) for i in range(60)}
+    for i in range(40):
+        x[i] = 4 * np.ones(8)
+    rows = [(i, v.tolist()) for i, v in x.items()] * 2 + [(0, x[0].tolist())] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, k=20, every=10, target=1.0).collect()
+    want = []
+    for q in range(0, 60, 10):
+        near = sorted((-(x[q] @ v), i) for i, v in x.items() if i != q)[:20]
+        want += [(q, k + 1, i) for k, (_, i) in enumerate(near)]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == want
+
+
 URLS = ["http://example.org/es/1", "https://www.Example.ORG/en/12?x=1", "http://example.org/en/2", "http://a.b.com/fr/x#y",
         "http://com/de/", "http://notcom/de/", "http://example.organic/es/", None, "", "no scheme", "http://", "://x.org",
         "http://x.org", "http://x.org?q", "http://u@x.com:80/fr/", "http://a://b.org/", "http://x.org/\n/es", "x://é.org/ü"]
