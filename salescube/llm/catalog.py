@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salescube.llm import (ann, bpe, chat_format, embedding_dedup, language_id, line_dedup, minhash_dedup,
-                           mixing, url_filter, warc)
+from salescube.llm import (ann, bpe, chat_format, embedding_dedup, filter_audit, hard_negatives, language_id,
+                           line_dedup, minhash_dedup, mixing, substring_dedup, url_filter, warc)
 from salescube.llm.common import table
 
 
@@ -57,10 +58,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", shifted))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_near_dedup, op2_minhash_near_dedup, op3_url_filter, op4_chat_format, op5_mix_sources,
-        op6_nearest_neighbours, op7_bpe, op8_warc, op9_line_dedup, op10_language_id)
+        op6_nearest_neighbours, op7_bpe, op8_warc, op9_line_dedup, op10_language_id, op11_hard_negatives,
+        op12_filter_audit, op13_substring_dedup)
 }
 
 # Components of a few links: every node's least reachable node.
@@ -182,6 +197,91 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
+_OP11 = """
+WITH r AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT * FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+       n.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INT) AS rank
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 3
+"""
+
+_OP12 = r"""
+WITH w AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), f AS (
+    SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+                          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+                          regexp_matches(t, '[#$%&*|]'),
+                          coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+    FROM w
+), l AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+), c AS (
+    SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+    SELECT filter_order, CAST(i AS INT) AS step, filter_order[i] AS own,
+           list_transform(range(1, i), lambda k: ascii(filter_order[k]) - 64) AS before
+    FROM o, range(1, 6) t(i)
+), m AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails[ascii(own) - 64] AS fail,
+           len(list_filter(before, lambda b: fails[b])) > 0 AS gone, len(list_filter(fails, lambda b: b)) = 1 AS alone
+    FROM c, s
+), g AS (
+    SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0) AS kept,
+           coalesce(sum(n) FILTER (fail AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (fail AND gone), 0) AS redundant,
+           coalesce(sum(n) FILTER (fail AND alone), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (fail AND NOT gone), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (fail AND NOT gone), 0) AS toxic_lost
+    FROM m GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
+_OP13 = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS MATERIALIZED (
+    SELECT doc_id, unnest(range(1, len(w) - 48)) AS p,
+           unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS k
+    FROM w WHERE len(w) >= 50
+), low AS (SELECT k, min(doc_id) AS low FROM g GROUP BY k HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM g JOIN low USING (k) WHERE low < doc_id
+), t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w
+), k AS (
+    SELECT t.doc_id, count(*) FILTER (gone.p IS NOT NULL) AS n,
+           string_agg(t.word, ' ' ORDER BY t.p) FILTER (gone.p IS NULL) AS kept
+    FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.p = t.p GROUP BY t.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": _OP1,
     "op2_minhash_near_dedup": _OP2,
@@ -189,4 +289,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mix_sources": _OP5,
     "op8_warc": _OP8,
     "op9_line_dedup": _OP9,
+    "op11_hard_negatives": _OP11,
+    "op12_filter_audit": _OP12,
+    "op13_substring_dedup": _OP13,
 }
