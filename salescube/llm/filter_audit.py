@@ -11,8 +11,8 @@ These counts add up to every step of every order: a document with mask m leaves
 at the first filter of the order that is in m. So the table is read once for the
 sketch and once for the flags, however many orders there are.
 
-The sketch has ``COUNTERS`` counters a document up to ``max_sketch_bytes`` of two
-bits each, and is broadcast. In larger tables it clears fewer texts, more of them
+The sketch has twelve counters a document up to ``max_sketch_bytes`` of two bits
+each, and is broadcast. In larger tables it clears fewer texts, more of them
 are shuffled, and the result is the same.
 """
 
@@ -20,22 +20,14 @@ from __future__ import annotations
 
 import itertools
 import json
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salescube.llm.common import WORD, releasing, stored
+from salescube.llm.common import WORD, settled
+from salescube.llm.sketch import MAX_SKETCH_BYTES, counters_for, merged_sketch, possible_repeats
 
-COUNTERS = 12
-SLOTS = 3                    # counters of a text
-CHUNK = 1 << 18              # counters merged by one task
-HELD = 200_000               # texts that a task counts before it hands on
-MAX_SKETCH_BYTES = 64_000_000
 DUPLICATE = "E"
 
 
@@ -54,74 +46,6 @@ def production_filters(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
-def text_slots(h1: np.ndarray, h2: np.ndarray, counters: int) -> np.ndarray:
-    """The counters of texts with these two hashes, one row a text."""
-    h1, h2 = h1.astype(np.uint64), h2.astype(np.uint64) | np.uint64(1)
-    k = np.arange(SLOTS, dtype=np.uint64)
-    return ((h1[:, None] + k * h2[:, None]) % np.uint64(counters)).astype(np.int64)
-
-
-def counters_for(texts: int, max_bytes: int) -> int:
-    """A power of two of at least COUNTERS for each text, as far as the bound goes (two bits each)."""
-    most = 1 << (max(4 * max_bytes, CHUNK).bit_length() - 1)
-    return min(most, max(CHUNK, 1 << (max(COUNTERS * texts, 1) - 1).bit_length()))
-
-
-def merged_sketch(hashes: DataFrame, counters: int) -> np.ndarray:
-    """For each counter, packed to a bit, whether it was counted more than once over all rows of (h1, h2)."""
-    @releasing()
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            at, n = np.unique(np.concatenate([np.empty(0, np.int64), *held]), return_counts=True)
-            chunks, begin = np.unique(at // CHUNK, return_index=True)
-            ends = np.append(begin, len(at)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32)))
-                     for x in (at % CHUNK, np.minimum(n, 3))]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(chunks), *lists], ["chunk", "at", "n"])
-
-        rows = 0
-        for batch in batches:
-            held.append(text_slots(batch.column("h1").to_numpy(), batch.column("h2").to_numpy(), counters).ravel())
-            rows += len(batch)
-            if rows >= HELD:
-                rows = 0
-                yield flush()
-        yield flush()
-
-    def merge(parts: pa.Table) -> pa.Table:
-        total = np.zeros(CHUNK, np.int64)
-        for at, n in zip(parts.column("at").chunks, parts.column("n").chunks):
-            total += np.bincount(at.flatten().to_numpy(), n.flatten().to_numpy(), CHUNK).astype(np.int64)
-        bits = np.packbits(total > 1).tobytes()
-        return pa.table({"chunk": parts.column("chunk").slice(0, 1), "bits": pa.array([bits], pa.binary())})
-
-    merged = (hashes.select("h1", "h2").mapInArrow(partial, "chunk long, at array<int>, n array<int>")
-              .groupBy("chunk").applyInArrow(merge, "chunk long, bits binary"))
-    out = np.zeros((counters // CHUNK, CHUNK // 8), np.uint8)
-    for r in merged.toLocalIterator():  # at most max_sketch_bytes / 2 in all
-        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.ravel()
-
-
-def possible_repeats(rows: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """``rows`` with (h1, h2) and ``possible``: false for texts that are certainly alone.
-
-    Only the hashes go to the Python worker, the texts stay where they are.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast(sketch)
-
-    @F.pandas_udf("boolean")
-    def probe(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        bits = shared.value
-        at = text_slots(h1.to_numpy(), h2.to_numpy(), len(bits) * 8)
-        return pd.Series(((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1))
-
-    return rows.withColumn("possible", probe("h1", "h2"))
-
-
 def filter_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
                  filters=production_filters, duplicate: str = DUPLICATE,
                  max_sketch_bytes: int = MAX_SKETCH_BYTES) -> tuple[DataFrame, list[str]]:
@@ -147,7 +71,7 @@ def filter_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .select("doc_id", "part", mask.alias("mask"), "h1", "h2", "text"))
     probed = possible_repeats(judged, sketch)  # texts of unique rows end here
     repeat = F.col("possible") & F.col("doc_id").isNotNull()
-    kept = stored(probed.select("doc_id", "part", "mask", F.when(repeat, F.col("text")).alias("text"),
+    kept = settled(probed.select("doc_id", "part", "mask", F.when(repeat, F.col("text")).alias("text"),
                                 F.when(repeat, F.unhex(F.sha2("text", 256))).alias("key")), "audit-flags")
     # Partial minima meet before the shuffle, so a text of a third of all rows is one row of each task.
     firsts = (kept.where(F.col("key").isNotNull()).groupBy("text").agg(F.min("doc_id").alias("doc_id"))

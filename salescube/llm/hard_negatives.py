@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.window import Window
 
-from salescube.llm.common import stored
+from salescube.llm.common import settled
 from salescube.llm.vectors import matrix
 
 SAMPLE = 16_384
@@ -159,7 +159,7 @@ def build_index(rows: DataFrame, dim: int) -> tuple[DataFrame, Index, tuple]:
                 [*batch.schema.names, "cell", "far1", "far2"])
 
     schema = rows.select("*").schema.add("cell", "long").add("far1", "double").add("far2", "double")
-    placed = stored(rows.mapInArrow(place, schema), "negatives-index")
+    placed = settled(rows.mapInArrow(place, schema), "negatives-index")
     sizes, radii = np.zeros(size * size, np.int64), [np.zeros(size), np.zeros(size)]
     for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far1"), F.max("far2")).collect():  # MOST * MOST at most
         sizes[r["cell"]] = r["n"]
@@ -227,7 +227,7 @@ def _route(queries: DataFrame, index: Index, sample: tuple, goal: Goal, dim: int
 
     schema = (queries.select("aid", "vec_id", "label", "q", "low", "high", "floors").schema
               .add("shard", "long").add("cells", ArrayType(LongType())))
-    return stored(queries.select("aid", "vec_id", "label", "q", "low", "high", "floors").mapInArrow(run, schema),
+    return settled(queries.select("aid", "vec_id", "label", "q", "low", "high", "floors").mapInArrow(run, schema),
                   "negatives-visits")
 
 
@@ -296,7 +296,7 @@ def search(points: DataFrame, index: Index, queries: DataFrame, sample: tuple, g
         visits = _route(state, index, sample, goal, dim, after, until)
         got = _visit(points, visits, goal, dim)
         got = got if held is None else got.unionByName(held)
-        held = stored(got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= goal.k)
+        held = settled(got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= goal.k)
                       .drop("rank"), "negatives-held")
         after, until = until, GROWTH * until
         if after < n:
@@ -341,7 +341,7 @@ def mine(rows: DataFrame, every: int = 50, positives: int = 5, negatives: int =
     id otherwise are rows of their own. Scores beyond a long are held to its
     range. Other columns are not read; no rows give no result.
     """
-    whole = stored(whole_vectors(rows, id_col, vec_col, label_col, steps).withColumn("dim", F.size("q")),
+    whole = settled(whole_vectors(rows, id_col, vec_col, label_col, steps).withColumn("dim", F.size("q")),
                    "negatives-rows")
     out = None
     for r in whole.select("dim").distinct().orderBy("dim").collect():  # one length in practice
@@ -355,11 +355,11 @@ def mine(rows: DataFrame, every: int = 50, positives: int = 5, negatives: int =
 
 def _mine_length(rows: DataFrame, dim: int, every: int, positives: int, negatives: int, low: int, high: int) -> DataFrame:
     points, index, sample = build_index(rows, dim)
-    anchors = stored(rows.where(F.col("vec_id") % every == 0).withColumn("aid", F.monotonically_increasing_id()),
+    anchors = settled(rows.where(F.col("vec_id") % every == 0).withColumn("aid", F.monotonically_increasing_id()),
                      "negatives-anchors")
     whole_range = anchors.withColumn("low", F.array(F.lit(-LONG))).withColumn("high", F.array(F.lit(LONG)))
     near = search(points, index, whole_range, sample, Goal(positives, True), dim)
-    near = stored(near.select("aid", F.col("vec_id").alias("positive_id"), (F.col("rank") - 1).alias("target"),
+    near = settled(near.select("aid", F.col("vec_id").alias("positive_id"), (F.col("rank") - 1).alias("target"),
                               F.col("score").alias("positive_score")), "negatives-positives")
     share = F.col("positive_score").cast("decimal(20,0)") / 100
     windows = (near.withColumn("low", F.ceil(share * low).cast("long")).withColumn("high", F.floor(share * high).cast("long"))

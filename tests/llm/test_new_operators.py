@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salescube.llm import filter_audit, hard_negatives, substring_dedup
+from salescube.llm import filter_audit, hard_negatives, sketch as sketches, substring_dedup
 from salescube.llm.common import WORD
 
 # ---------------------------------------------------------------- hard negatives
@@ -162,7 +162,7 @@ def test_audit_equals_applying_every_order(spark, monkeypatch, sketch):
     """Also with a sketch so small that it clears nothing."""
     options = {}
     if sketch:
-        monkeypatch.setattr(filter_audit, "CHUNK", 16)
+        monkeypatch.setattr(sketches, "CHUNK", 16)
         options["max_sketch_bytes"] = sketch
     docs = spark.createDataFrame([(*r, 7, "x") for r in audited()], DOCS).repartition(3)
     labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
@@ -182,8 +182,8 @@ def test_audit_of_empty_tables(spark):
 def test_sketch_never_clears_a_repeat_and_clears_most_others(spark):
     rows = spark.range(4000).select("id", F.xxhash64(F.expr("id % 3900")).alias("h1"),
                                     F.xxhash64(F.lit(1), F.expr("id % 3900")).alias("h2"))
-    sketch = filter_audit.merged_sketch(rows.repartition(7), filter_audit.counters_for(4000, 1 << 20))
-    possible = {r.id for r in filter_audit.possible_repeats(rows, sketch).where("possible").collect()}
+    sketch = sketches.merged_sketch(rows.repartition(7), sketches.counters_for(4000, 1 << 20))
+    possible = {r.id for r in sketches.possible_repeats(rows, sketch).where("possible").collect()}
     repeats = set(range(100)) | set(range(3900, 4000))
     assert repeats <= possible and len(possible - repeats) < 100
 
