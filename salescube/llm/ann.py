@@ -15,6 +15,9 @@ structure, such as uniformly random ones, need a large share of all leaves; the
 calibration then pays that price instead of losing recall.
 
 Exact copies are one class, searched once, and a class gives its first ids only.
+The sample's k-th best score is a floor that each query has for sure, and what it
+has found in one round of leaves is its floor in the next, which pops ``GROWTH``
+times as many vectors: a task returns only what reaches the floor.
 Leaves lie in shards, neighbouring leaves together; a shard's vectors and its
 queries are dealt into blocks of bounded size and every two blocks are a task.
 """
@@ -43,11 +46,25 @@ PROBES = 64            # bound of the queries that calibrate the budget
 TARGET = 0.96
 SHARD = 8_192
 QUERY_BLOCK = 4_096
+GROWTH = 16
+ROUTED = 1_000         # queries that a task routes
+LARGE = 1e100          # larger components are scaled in the index, their squares would overflow
+
+
+def inner(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of rows in double precision; only those that are too large themselves are infinite."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = q @ x.T
+        for i, j in zip(*np.nonzero(~np.isfinite(out))):  # sums that overflow on their way
+            a, b = np.abs(q[i]).max(), np.abs(x[j]).max()
+            out[i, j] = (q[i] / a) @ (x[j] / b) * min(a, b) * max(a, b)
+    return out
 
 
 @dataclass(frozen=True)
 class Forest:
-    radius: float             # the largest length of a vector
+    scale: float              # vectors are divided by it in the index
+    radius: float             # the largest length of a scaled vector
     depth: int
     directions: np.ndarray    # trees x depth x (dim + 1)
     cuts: list[np.ndarray]    # for each level, trees x nodes
@@ -59,7 +76,7 @@ class Forest:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector in each tree."""
-        x = self._extended(x, False)
+        x = self._extended(x / self.scale, False)
         out = np.zeros((len(x), len(self.directions)), np.int64)
         for t in range(out.shape[1]):
             for level in range(self.depth):
@@ -68,7 +85,7 @@ class Forest:
 
     def search(self, q: np.ndarray, sizes: np.ndarray, budget: float) -> Iterator[tuple[int, int, int]]:
         """(tree, leaf, vectors popped so far) in the queue's order until the budget is full."""
-        place = self._extended(q[None, :], True)[0]
+        place = self._extended(q[None, :] / self.scale, True)[0]
         at = np.einsum("tld,d->tl", self.directions, place) if self.depth else np.zeros((len(sizes), 0))
         heap = [(0.0, t, 0, 0) for t in range(len(sizes))]
         seen = 0
@@ -83,13 +100,13 @@ class Forest:
             yield t, node, seen
 
 
-def fit(sample: np.ndarray, n: int, radius: float, trees: int = TREES, leaf: int = LEAF) -> Forest:
+def fit(sample: np.ndarray, n: int, radius: float, scale: float = 1.0, trees: int = TREES, leaf: int = LEAF) -> Forest:
     depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(n, 1) / leaf))))
     rng = np.random.default_rng(97)
     directions = rng.standard_normal((trees, depth, sample.shape[1] + 1))
     cuts = [np.zeros((trees, 1 << level)) for level in range(depth)]
-    forest = Forest(radius, depth, directions, cuts)
-    x = forest._extended(sample, False)
+    forest = Forest(scale, radius, depth, directions, cuts)
+    x = forest._extended(sample / scale, False)
     for t in range(trees):
         node = np.zeros(len(x), np.int64)
         for level in range(depth):
@@ -103,13 +120,15 @@ def fit(sample: np.ndarray, n: int, radius: float, trees: int = TREES, leaf: int
     return forest
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the k largest finite scores of each row, ties to the smaller id."""
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int, ok: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k largest scores of each row among those that are ``ok``, ties to the smaller id."""
+    ok = np.ones(scores.shape, bool) if ok is None else ok
     if scores.shape[1] > k:
-        least = np.partition(scores, -k, axis=1)[:, -k][:, None]
-        row, col = np.nonzero((scores >= least) & np.isfinite(scores))
+        # What isn't ok is lowest; where fewer than k are, all of them are kept.
+        least = np.partition(np.where(ok, scores, -np.inf), -k, axis=1)[:, -k][:, None]
+        row, col = np.nonzero(ok & (scores >= least))
     else:
-        row, col = np.nonzero(np.isfinite(scores))
+        row, col = np.nonzero(ok)
     order = np.lexsort((ids[col], -scores[row, col], row))
     row, col = row[order], col[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -121,7 +140,7 @@ def _true_neighbours(classes: DataFrame, dim: int, probes: np.ndarray, k: int) -
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("class_id").to_numpy()
-            scores = probes @ matrix(batch.column("vec"), dim).T
+            scores = inner(probes, matrix(batch.column("vec"), dim))
             row, col = best_of(scores, ids, k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row), pa.array(ids[col]), pa.array(scores[row, col]),
@@ -155,15 +174,18 @@ def _rank_block(k: int, dim: int):
         q = matrix(queries.column("vec").combine_chunks(), dim)
         wanted = queries.column("wanted").combine_chunks()
         owner = np.repeat(np.arange(len(q)), wanted.value_lengths().to_numpy())
-        wanted = wanted.flatten().to_numpy()
+        wanted, floor = wanted.flatten().to_numpy(), queries.column("floor").to_numpy()
         out = []
         for at in range(0, len(q), 256):
-            scores = np.full((min(256, len(q) - at), len(x)), -np.inf)
+            scores = np.zeros((min(256, len(q) - at), len(x)))
+            ok = np.zeros(scores.shape, bool)
             mine = (owner >= at) & (owner < at + 256)
             for here in np.unique(wanted[mine]):
                 rows, cols = owner[mine & (wanted == here)] - at, np.flatnonzero(leaf == here)
-                scores[np.ix_(rows, cols)] = q[rows + at] @ x[cols].T
-            row, col = best_of(scores, ids, k)
+                at_here = np.ix_(rows, cols)
+                scores[at_here] = inner(q[rows + at], x[cols])
+                ok[at_here] = scores[at_here] >= floor[rows + at, None]
+            row, col = best_of(scores, ids, k, ok)
             out.append((asked[row + at], ids[col], scores[row, col]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out), types)], names)
 
@@ -172,13 +194,17 @@ def _rank_block(k: int, dim: int):
 
 def _search_length(classes: DataFrame, asked: DataFrame, dim: int, k: int, target: float) -> DataFrame:
     """(query_class, class_id, score): the k best classes found for each asked class of one length."""
-    stats = classes.agg(F.count("*").alias("n"), F.max(F.aggregate(
-        "vec", F.lit(0.0), lambda a, x: a + x * x)).alias("r")).first()
-    n, radius = stats["n"], math.sqrt(stats["r"])
+    stats = classes.agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("vec", F.abs))).alias("most")).first()
+    n, scale = stats["n"], stats["most"] if stats["most"] > LARGE else 1.0
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))
+    radius = math.sqrt(classes.agg(F.max(square)).first()[0])
     spread = F.pmod("h1", F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = classes.where(spread < min(1.0, SAMPLE / n)).select("vec").orderBy("h1", "h2").toArrow().column("vec")
     # A sample may come out empty where there are few rows; any vector fits a forest without levels.
-    forest = fit(matrix(sample.combine_chunks(), dim) if len(sample) else np.zeros((0, dim)), n, radius)
+    sample = matrix(sample.combine_chunks(), dim) if len(sample) else np.zeros((0, dim))
+    forest = fit(sample, n, radius, scale)
+    known = classes.sparkSession.sparkContext.broadcast(sample)
+    largest = radius * scale
     shared = classes.sparkSession.sparkContext.broadcast(forest)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,43 +231,70 @@ def _search_length(classes: DataFrame, asked: DataFrame, dim: int, k: int, targe
     budget = calibrate(forest, sizes, probes, truth, target)
     shift = forest.depth - min(forest.depth, max(0, math.ceil(math.log2(n / SHARD))))
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q = matrix(batch.column("vec"), dim)
-            row, tree, shard, wanted = [], [], [], []
-            for i in range(len(q)):
-                popped: dict[tuple[int, int], list[int]] = {}
-                for t, leaf, _ in shared.value.search(q[i], sizes, budget):
-                    popped.setdefault((t, leaf >> shift), []).append(leaf)
-                row += [i] * len(popped)
-                tree += [t for t, _ in popped]
-                shard += [s for _, s in popped]
-                wanted += popped.values()
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class_id").take(at), batch.column("vec").take(at), pa.array(tree, pa.int32()),
-                 pa.array(shard, pa.int64()), pa.array(wanted, pa.list_(pa.int64()))],
-                ["query_class", "vec", "tree", "shard", "wanted"])
+    def route(after: float, until: float):
+        """The leaves that each query pops when it has popped from ``after`` to ``until`` vectors."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                q, floor = matrix(batch.column("vec"), dim), batch.column("floor").to_numpy().copy()
+                if after == 0 and len(known.value) >= k:
+                    for at in range(0, len(q), 256):
+                        floor[at:at + 256] = np.partition(inner(q[at:at + 256], known.value), -k, axis=1)[:, -k]
+                    with np.errstate(over="ignore", invalid="ignore"):  # the last bits of a product vary by block
+                        floor -= 1e-9 * np.sqrt(np.einsum("ij,ij->i", q, q)) * largest
+                        floor[np.isnan(floor)] = -np.inf
+                row, tree, shard, wanted = [], [], [], []
+                for i in range(len(q)):
+                    popped: dict[tuple[int, int], list[int]] = {}
+                    past = 0
+                    for t, leaf, seen in shared.value.search(q[i], sizes, until):
+                        if past >= after:
+                            popped.setdefault((t, leaf >> shift), []).append(leaf)
+                        past = seen
+                    row += [i] * len(popped)
+                    tree += [t for t, _ in popped]
+                    shard += [s for _, s in popped]
+                    wanted += popped.values()
+                at = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("class_id").take(at), batch.column("vec").take(at), pa.array(floor).take(at),
+                     pa.array(tree, pa.int32()), pa.array(shard, pa.int64()), pa.array(wanted, pa.list_(pa.int64()))],
+                    ["query_class", "vec", "floor", "tree", "shard", "wanted"])
+        return run
 
-    routed = stored(asked.select("class_id", "vec").repartition("class_id").mapInArrow(
-        route, "query_class long, vec array<double>, tree int, shard long, wanted array<long>"), "ann-queries")
     points = points.withColumn("shard", F.shiftright("leaf", shift))
+    best = Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id")
+    # Routing costs Python time, so its tasks go by the number of queries.
+    queries = stored(asked.select("class_id", "vec").repartition(max(1, math.ceil(few / ROUTED)), "class_id"), "ann-asked")
+    floors, held, after, until = queries.withColumn("floor", F.lit(-math.inf)), None, 0.0, float(GROWTH * SAMPLE)
+    while held is None or after < min(budget, TREES * n):
+        routed = stored(floors.select("class_id", "vec", "floor").mapInArrow(
+            route(after, min(until, budget)),
+            "query_class long, vec array<double>, floor double, tree int, shard long, wanted array<long>"), "ann-queries")
+        found = _ranked(points, routed, k, dim)
+        found = found if held is None else found.unionByName(held)
+        held = stored(found.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
+                      .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank"), "ann-held")
+        after, until = until, GROWTH * until
+        kth = held.groupBy(F.col("query_class").alias("class_id")).agg(
+            F.when(F.count("*") == k, F.min("score")).otherwise(F.lit(-math.inf)).alias("floor"))
+        floors = queries.join(kth, "class_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-math.inf)))
+    return held
+
+
+def _ranked(points: DataFrame, routed: DataFrame, k: int, dim: int) -> DataFrame:
+    """(query_class, class_id, score): the best of each block of points and queries that reach the queries' floors."""
     blocks = (points.groupBy("tree", "shard").agg(F.ceil(F.count("*") / (2 * SHARD)).cast("int").alias("pb"))
               .join(routed.groupBy("tree", "shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qb")),
                     ["tree", "shard"]))
 
-    def dealt(rows: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
+    def dealt(rows: DataFrame, id_col: str, own: list[str], other: list[str]) -> DataFrame:
         return (rows.join(blocks, ["tree", "shard"])
-                .withColumn(own[0], F.pmod(F.xxhash64(id_col), F.col(own)).cast("int"))
-                .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("pb", "qb"))
+                .withColumn(own[0], F.pmod(F.xxhash64(id_col), F.col(own[1])).cast("int"))
+                .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1))).drop("pb", "qb"))
 
-    key = ["tree", "shard", "p", "q"]
-    ranked = (dealt(points, "class_id", "pb", "qb").groupBy(*key)
-              .cogroup(dealt(routed, "query_class", "qb", "pb").groupBy(*key))
-              .applyInArrow(_rank_block(k, dim), "query_class long, class_id long, score double"))
-    best = Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id")
-    return (ranked.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank"))
+    key, p, q = ["tree", "shard", "p", "q"], ["p", "pb"], ["q", "qb"]
+    return (dealt(points, "class_id", p, q).groupBy(*key).cogroup(dealt(routed, "query_class", q, p).groupBy(*key))
+            .applyInArrow(_rank_block(k, dim), "query_class long, class_id long, score double"))
 
 
 def nearest(rows: DataFrame, k: int = 20, every: int = 20, target: float = TARGET,

@@ -33,8 +33,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from salescube.llm.common import releasing, small
 
-# The tokenizer file's path is a parameter; this is where the box keeps it.
-VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+# The tokenizer file's path is a parameter; without one, this file of the installed public ones is taken.
+VOCABULARY = "byte_bpe_50k.json"
 MAX_VOCABULARY_BYTES = 64_000_000
 
 # Fixed value: white space as the Unicode property and not Python's, which also has 1C to 1F.
@@ -87,7 +87,7 @@ class Codec:
         self.token_bytes = np.frombuffer(b"".join(raw_tokens), np.uint8)
         self.specials = (regex.compile("|".join(sorted(map(regex.escape, self.added), key=len, reverse=True)))
                          if self.added else None)
-        self.cache: dict[int, bytes] = {}
+        self.cache: dict[str, bytes] = {}
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * ID_SPAN + right
@@ -165,15 +165,15 @@ class Codec:
                     heapq.heappush(heap, (r, a, parts[a], parts[b]))
         return [p for p in parts if p]
 
-    def _learn(self, words: dict[int, str]) -> None:
-        """Put the packed ids of new words, by hash, into the cache."""
-        hashes, data = list(words), [w.encode() for w in words.values()]
+    def _learn(self, words: list[str]) -> None:
+        """Put the packed ids of new words into the cache."""
+        data = [w.encode() for w in words]
         short = [i for i, d in enumerate(data) if len(d) <= SHORT]
-        self.cache.update(zip([hashes[i] for i in short], self._merge_short([data[i] for i in short])))
-        for h, d in zip(hashes, data):
+        self.cache.update(zip([words[i] for i in short], self._merge_short([data[i] for i in short])))
+        for w, d in zip(words, data):
             if len(d) > SHORT:
                 merged = self._merge_long([d[i:i + 1] for i in range(len(d))])
-                self.cache[h] = b"".join([self.ids[p].to_bytes(4, "little") for p in merged])
+                self.cache[w] = b"".join([self.ids[p].to_bytes(4, "little") for p in merged])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. The strings of added tokens in a text become those tokens."""
@@ -210,17 +210,13 @@ class Codec:
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.cumsum([len(t) for t in texts])
         starts = word_starts(points, ends[:-1])
-        hashes = span_hashes(points, starts)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        stops = np.append(starts, len(points))
-        packed = [self.cache.get(h) for h in distinct.tolist()]
+        words, which = distinct_words(joined, points, starts)
+        packed = [self.cache.get(w) for w in words]
         new = [k for k, ids in enumerate(packed) if ids is None]
         if new:
-            at = first[new]
-            lo, hi = stops[at].tolist(), stops[at + 1].tolist()
-            self._learn({h: joined[a:b] for h, a, b in zip(distinct[new].tolist(), lo, hi)})
-            for k, h in zip(new, distinct[new].tolist()):
-                packed[k] = self.cache[h]
+            self._learn([words[k] for k in new])
+            for k in new:
+                packed[k] = self.cache[words[k]]
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         ids = gather(np.frombuffer(b"".join(packed), "<i4"), np.cumsum(sizes) - sizes, sizes, which)
         upto = np.concatenate([[0], np.cumsum(sizes[which])])
@@ -324,6 +320,36 @@ def span_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return sums * np.uint64(0x94D049BB133111EB)
 
 
+def distinct_words(joined: str, points: np.ndarray, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The distinct words of a batch, and for every word which of them it is.
+
+    Words are grouped by hash and then compared with the first of their group,
+    code point by code point; those that differ from it are told apart as strings.
+    """
+    if not len(starts):
+        return [], np.empty(0, np.int64)
+    _, first, which = np.unique(span_hashes(points, starts), return_index=True, return_inverse=True)
+    stops = np.append(starts, len(points))
+    sizes, leader = np.diff(stops), first[which]
+    words = [joined[a:b] for a, b in zip(stops[first].tolist(), stops[first + 1].tolist())]
+    same = sizes == sizes[leader]
+    if same.all():
+        differs = gather(points, starts, sizes, leader) != points
+        if differs.any():
+            same[np.searchsorted(starts, np.flatnonzero(differs), side="right") - 1] = False
+    else:  # lengths differ within a hash, which no ordinary text does
+        same[[k for k in np.flatnonzero(same).tolist()
+              if joined[stops[k]:stops[k + 1]] != words[which[k]]]] = False
+    others: dict[str, int] = {}
+    for k in np.flatnonzero(~same).tolist():
+        w = joined[stops[k]:stops[k + 1]]
+        if w not in others:
+            others[w] = len(words)
+            words.append(w)
+        which[k] = others[w]
+    return words, which
+
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -341,7 +367,9 @@ def forget_codecs() -> None:
 
 
 def read_vocabulary(path: str | None = None) -> str:
-    path = path or VOCABULARY
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path(VOCABULARY)
     if os.path.getsize(path) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is too large to broadcast")
     with open(path, encoding="utf-8") as f:

@@ -30,6 +30,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+HOT_KEYS = 2_048  # bound of the keys that are broadcast to be joined where their rows are
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -70,6 +71,19 @@ def settled(df: DataFrame, name: str) -> DataFrame:
         conf.set(SHUFFLE_CLEANUP, before)
 
 
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """``many`` joined to ``one``, which has a row for each key and, as ``rows``, how many of ``many`` it meets.
+
+    Keys of more than their share are at most HOT_KEYS, are broadcast and leave
+    their rows where they are; the others meet by a shuffle. ``many`` is stored.
+    """
+    total = many.count()
+    hot = F.col(rows) > max(1_000, total // HOT_KEYS)
+    few = one.where(hot)
+    cold = many.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(one.where(~hot), keys)
+    return cold.unionByName(many.join(F.broadcast(few), keys).select(*cold.columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,11 +5,12 @@ n-grams (1 to 3 code points), trained by follow-the-regularised-leader with
 elastic-net penalties, with a temperature fitted afterwards.
 
 Document frequencies come from every training document. The classifier is
-fitted on a bounded sample: about ``sample_per_language`` documents of each
-language, chosen by the hash of the id, of which a fifth only calibrates the
-temperature. What reaches the driver is bounded by the number of n-gram buckets
-and by that sample. The model, a bounded matrix, is broadcast for prediction,
-which is one pass without a shuffle.
+fitted on a bounded sample: ``sample_per_language`` documents of each language,
+or fewer of each where they would be more than ``sample_rows`` in all, chosen by
+the hash of the id, of which a fifth only calibrates the temperature. Every label
+is learned. What reaches the driver is that sample and a count for each n-gram
+bucket and label. The model, a row of weights for each bucket with a number for
+each label, is broadcast for prediction, which is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ UNDETERMINED = "und"
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 15
-    sample_per_language: int = 500   # bound of the fitting sample
-    max_languages: int = 200         # rarer languages than the first so many are not learned
+    sample_per_language: int = 500   # documents of a language in the fitting sample, on average
+    sample_rows: int = 100_000       # bound of the fitting sample, spread over all labels, at least some of each
+    least_per_language: int = 20
     epochs: int = 3
     alpha: float = 0.5               # FTRL learning rate
     beta: float = 1.0
@@ -157,13 +159,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
           settings: Settings = Settings()) -> Model:
     """Learn from all rows of ``docs`` with a label. No labels give a model that knows no language.
 
-    Null and empty texts and texts without letters teach nothing. Ties between
-    languages of equal frequency go by name.
+    Null and empty texts and texts without letters teach nothing. However rare,
+    every label is among those learned and predicted.
     """
     s = settings
     labelled = docs.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    sizes = (labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(s.max_languages).collect())
+    sizes = labelled.groupBy("label").count().collect()
     languages = sorted(r["label"] for r in sizes)
     if not languages:
         return Model([], np.ones(s.buckets), np.zeros((s.buckets + 1, 1)), 1.0)
@@ -171,9 +173,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1.0
 
     # The hash of the id picks a share of each language that makes about the bound.
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], min(1.0, s.sample_per_language / r["count"]))])
+    quota = max(s.least_per_language, min(s.sample_per_language, s.sample_rows // len(languages)))
+    shares = docs.sparkSession.createDataFrame(
+        [(r["label"], min(1.0, quota / r["count"])) for r in sizes], "label string, share double")
     draw = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = labelled.where(F.col("label").isin(languages)).where(draw < share[F.col("label")])
+    rows = labelled.join(F.broadcast(shares), "label").where(draw < F.col("share"))  # a row for each label
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -1,29 +1,34 @@
 """Line dedup on levelled sorted runs of line hashes.
 
 Documents come in batches. A batch's line hashes are merge-anti-joined with the
-runs: hashes that no run holds are new, the others are further sightings; both
-go, sorted by hash, into a run of the batch's own at level 0. When a level has
-``fanout`` runs they are compacted into one run of the next level, so a hash
-sits in at most fanout * levels runs. A run row is (h1, h2, docs, last):
-how many documents hold the line, and the largest doc_id of them.
-
-After the last batch the compacted runs decide: a key that at least
+runs: hashes that no run holds are new and go, sorted by hash, into a run of the
+batch's own at level 0. The others are further sightings; each is found in one
+run and goes to the counters. So a hash is in one run only, the one of the batch
+that saw it first. When a level has ``fanout`` runs they are merged into one run
+of the next level. A row is (h1, h2, docs, last): how many documents of the batch
+hold the line, and the largest doc_id of them.
+
+After the last batch runs and counters decide together: a key that at least
 ``min_docs`` documents hold loses all its lines except those of its largest
-doc_id. Run tables are written to the shared folder; nothing but their paths is
-kept on the driver.
+doc_id. Runs are tables in the shared folder, bucketed and sorted by hash, so that
+neither the anti-joins nor the merges shuffle them; only a batch is shuffled, once.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescube.llm.common import SPACES, ascii_lower, stored
+from salescube.llm.common import SPACES, ascii_lower, scratch_path, spread_join, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
 FANOUT = 2
+BUCKET_LINES = 1_000_000
+KEY = ["h1", "h2"]
 
 
 def split_lines(text: Column) -> Column:
@@ -41,50 +46,63 @@ def _hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
 
 
+def _bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Stored in the shared folder as a table bucketed and sorted by the hash, so that joins of runs need no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    as_table = "llm_" + os.path.basename(path).replace("-", "_")
+    (df.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", path).option("compression", "zstd")
+     .saveAsTable(as_table))
+    return spark.table(as_table)
+
+
 class LineRuns:
-    """The levels of runs. ``add`` takes a batch, ``merged`` the view over all runs."""
+    """The levels of runs and the counters. ``add`` takes a batch, ``merged`` gives the view over all."""
 
-    def __init__(self, fanout: int = FANOUT):
-        self.fanout = fanout
+    def __init__(self, fanout: int = FANOUT, buckets: int = 8):
+        self.fanout, self.buckets = fanout, buckets
         self.levels: list[list[DataFrame]] = []
+        self.counters: list[DataFrame] = []
 
     def _runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> None:
         """``lines`` (doc_id, h1, h2): each line key once for each document."""
-        sightings = lines.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
-        own = sightings.withColumn("new", F.lit(True))
-        if self._runs():
-            own = stored(sightings, "batch-hashes")
-            known = self._union(self._runs()).where("new").select("h1", "h2")
-            fresh = own.join(known, ["h1", "h2"], "left_anti").withColumn("new", F.lit(True))
-            again = own.join(known, ["h1", "h2"], "left_semi").withColumn("new", F.lit(False))
-            own = fresh.union(again)
-        self._put(0, own)
+        sightings = lines.groupBy(*KEY).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
+        own = _bucketed(sightings.repartition(self.buckets, *KEY), "batch-hashes", self.buckets)
+        fresh, known = own, self._runs()
+        for run in known:
+            fresh = fresh.join(run.select(*KEY), KEY, "left_anti")
+        self.counters += [stored(own.join(run.select(*KEY), KEY, "left_semi"), "counter") for run in known]
+        self._put(0, fresh if known else own)
 
     def _put(self, level: int, run: DataFrame) -> None:
         if len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(stored(run.repartition("h1", "h2").sortWithinPartitions("h1", "h2"),
-                                         f"run-l{level}"))
+        self.levels[level].append(_bucketed(run, f"run-l{level}", self.buckets))
         if len(self.levels[level]) == self.fanout:
             full, self.levels[level] = self.levels[level], []
             self._put(level + 1, self._compact(full))
 
     @staticmethod
-    def _union(runs: list[DataFrame]) -> DataFrame:
+    def _compact(runs: list[DataFrame]) -> DataFrame:
+        """Runs hold different keys, so merging them side by side by key is a union in the runs' order."""
         out = runs[0]
         for run in runs[1:]:
-            out = out.unionByName(run)
+            a, b = out.alias("a"), run.alias("b")
+            out = a.join(b, KEY, "full").select(
+                *KEY, *[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in ("docs", "last")])
         return out
 
-    def _compact(self, runs: list[DataFrame]) -> DataFrame:
-        return self._union(runs).groupBy("h1", "h2").agg(
-            F.sum("docs").alias("docs"), F.max("last").alias("last"), F.bool_or("new").alias("new"))
-
-    def merged(self) -> DataFrame:
-        return self._compact(self._runs())
+    def merged(self, least: int = 1) -> DataFrame:
+        """(h1, h2, docs, last) of the keys that at least so many documents hold: first sightings and counters added up."""
+        parts = self._runs() + self.counters
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        total = out.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+        return total.where(F.col("docs") >= least)
 
 
 def _document_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -104,11 +122,11 @@ def condemned_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lines = stored(_document_lines(docs, id_col, text_col, min_chars)
                    .withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")),
                    "lines", ["batch"])
-    runs = LineRuns(fanout)
+    runs = LineRuns(fanout, max(8, -(-lines.count() // BUCKET_LINES)))
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b).select("doc_id", "h1", "h2"))
-    heavy = runs.merged().where(F.col("docs") >= min_docs).select("h1", "h2", "last")
-    return lines.select("doc_id", "h1", "h2").join(heavy, ["h1", "h2"]).where("doc_id <> last")
+    heavy = stored(runs.merged(min_docs), "heavy-lines")
+    return spread_join(lines.select("doc_id", *KEY), heavy, KEY, "docs").where("doc_id <> last").select("doc_id", *KEY)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -35,13 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from salescube.llm.common import releasing, small, settled
+from salescube.llm.common import releasing, settled, small, spread_join
 from salescube.llm.sketch import counters_for, merged_sketch, possible_repeats
 
 WINDOW = 50
 SEEDS = 4
 KNOWN_WORDS = 200_000
-HOT_KEYS = 2_048             # bound of the keys that are broadcast to be joined where their rows are
 ODD = np.uint64(0x9E3779B97F4A7C15)
 ROW = ["doc_id", "t"]        # a row: its id and the hash of its text, which tells repeated ids apart
 
@@ -159,19 +158,6 @@ def _occurrences(rows: DataFrame, window: int, seed: int) -> DataFrame:
     return settled(possible_repeats(keyed, sketch).where("possible").drop("h1", "h2", "possible"), "substring-blocks")
 
 
-def spread_join(many: DataFrame, one: DataFrame, keys: list[str], rows: str) -> DataFrame:
-    """``many`` joined to ``one``, which has a row for each key and, as ``rows``, how many of ``many`` it meets.
-
-    Keys of more than their share are at most HOT_KEYS, are broadcast and leave
-    their rows where they are; the others meet by a shuffle. ``many`` is stored.
-    """
-    total = many.count()
-    hot = F.col(rows) > max(1_000, total // HOT_KEYS)
-    few = one.where(hot)
-    cold = many.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(one.where(~hot), keys)
-    return cold.unionByName(many.join(F.broadcast(few), keys).select(*cold.columns))
-
-
 def _first_places(occurrences: DataFrame) -> DataFrame:
     """The distinct blocks with their first occurrence, largest document, neighbours and a number."""
     # Beside null, the end of a text, no neighbour is 0: one of that hash would only end a path.

@@ -260,3 +260,34 @@ def test_prefix_sums_over_ranges(spark):
     got = prefix_sums(spark.createDataFrame(rows, "g string, k long, v long"), ["g"], ["k"], "v", "t").collect()
     for r in got:
         assert r.before == sum(v for g, k, v in rows if g == r.g and k < r.k)
+
+
+def test_inner_products_that_overflow_count(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(10)]
+    rows += [(10, [1e200, 1e200, 1.0, 0.0]), (20, [2e200, -1e200, 0.0, 1.0]), (21, [-1e200, 1e200, 0.0, 0.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3, every=10).collect()
+    x = np.array([v for _, v in rows])
+    ids = np.array([i for i, _ in rows])
+    for query in (0, 10, 20):
+        scores = ann.inner(x[ids == query], x)[0]
+        want = sorted((-s, i) for s, i in zip(scores, ids) if i != query)[:3]
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == query)
+        assert [i for _, i, _ in mine] == [i for _, i in want]
+        assert np.allclose([s for *_, s in mine], [-s for s, _ in want], rtol=1e-12)
+    assert ann.inner(x[10:11], x[11:12])[0, 0] == np.inf and ann.inner(x[11:12], x[12:13])[0, 0] == -np.inf
+
+
+def test_later_rounds_return_only_what_reaches_the_floor(spark, monkeypatch):
+    """Small rounds and a small sample give the same neighbours as one search of everything."""
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(6)]) for i in range(600)],
+                               "vec_id long, embedding array<double>")
+    def found():
+        return sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.nearest(df, k=5, every=50, target=1.0).collect())
+
+    whole = found()
+    for name, value in (("LEAF", 16), ("SAMPLE", 40), ("GROWTH", 2), ("SHARD", 64), ("QUERY_BLOCK", 4)):
+        monkeypatch.setattr(ann, name, value)
+    monkeypatch.setattr(ann, "calibrate", lambda *a: float("inf"))
+    assert found() == whole

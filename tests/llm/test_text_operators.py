@@ -202,8 +202,9 @@ def test_mixed_documents_hold_the_taken_words(docs, nothing):
 
 @pytest.fixture(scope="module")
 def library():
+    import public_tokenizers
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(bpe.VOCABULARY)
+    return Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
 
 
 def test_bpe_equals_the_library(library):
@@ -255,3 +256,116 @@ def test_language_id_on_held_out_rows(spark, nothing):
     assert language_id.language_predictions(nothing).count() == 0
     unlabelled = spark.createDataFrame([(1, "ba", None, None, 0)], DOCS)
     assert language_id.language_predictions(unlabelled).first().lang_pred == "und"
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_of_equal_hash_keep_their_own_ids(spark):
+    """Mirrored Thue-Morse words have equal polynomial hashes modulo 2 ** 64 whatever the base."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    mirror = str.maketrans("ab", "ba")
+    texts = [t for n in (512, 1024, 2048, 4096, 8192) for w in (thue_morse(n),) for t in (w, w.translate(mirror), f"{w} {w.translate(mirror)}")]
+    points = np.frombuffer((texts[6] + texts[7]).encode("utf-32-le"), np.uint32)
+    assert len(set(bpe.span_hashes(points, np.array([0, 2048])).tolist())) == 1  # or this test shows nothing
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    codec = bpe.Codec(bpe.read_vocabulary())
+    assert [x.tolist() for x in codec.encode_batch(texts)] == want
+    assert [codec.encode(t) for t in reversed(texts)] == want[::-1]
+    got = bpe.token_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in got} == {
+        i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_words_of_equal_hash_and_unequal_length_are_told_apart(monkeypatch):
+    monkeypatch.setattr(bpe, "span_hashes", lambda points, starts: np.zeros(len(starts), np.uint64))
+    text = "aa b aa ccc b dd"
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    starts = bpe.word_starts(points, np.empty(0, np.int64))
+    words, which = bpe.distinct_words(text, points, starts)
+    assert "".join(words[k] for k in which) == text and len(set(words)) == len(words)
+
+
+def test_every_label_is_learned(spark):
+    """Two hundred and fifty labels, each with letters of its own; columns that clash with those of the model."""
+    rows = [(250 * k + i, chr(0x4E00 + 40 * i) * 6 + chr(0x4E01 + 40 * i) * (k + 1), f"l{i:03}", 1, "x")
+            for i in range(250) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, share string")
+    model = language_id.train(docs, settings=language_id.Settings(sample_rows=5_000, epochs=2))
+    assert len(model.languages) == 250
+    got = language_id.predict(docs, model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 950
+
+
+def test_ftrl_equals_the_plain_update_rule():
+    """Coordinate by coordinate, with weights from the leader's closed form."""
+    s = language_id.Settings(buckets=6)
+    rng = np.random.default_rng(3)
+    model = language_id.Ftrl(6, 3, s)
+    z, n = [[0.0] * 3 for _ in range(7)], [[0.0] * 3 for _ in range(7)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= s.l1:
+            return 0.0
+        return -(z[i][c] - np.sign(z[i][c]) * s.l1) / ((s.beta + n[i][c] ** 0.5) / s.alpha + s.l2)
+
+    for _ in range(60):
+        at = np.sort(rng.choice(6, 3, replace=False))
+        x, label = rng.random(3), int(rng.integers(0, 3))
+        model.learn(at, x, label)
+        feats = [*zip(at.tolist(), x.tolist()), (6, 1.0)]
+        w = {i: [weight(i, c) for c in range(3)] for i, _ in feats}
+        e = np.exp([sum(v * w[i][c] for i, v in feats) for c in range(3)])
+        for i, v in feats:
+            for c in range(3):
+                g = v * (e[c] / e.sum() - (c == label))
+                z[i][c] += g - ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / s.alpha * w[i][c]
+                n[i][c] += g * g
+    assert np.allclose(model.weights(slice(None)), [[weight(i, c) for c in range(3)] for i in range(7)])
+
+
+def test_temperature_is_the_best_of_its_grid():
+    rng = np.random.default_rng(2)
+    logits = 4 * rng.standard_normal((200, 3))
+    labels = (logits / 4 + rng.gumbel(size=(200, 3))).argmax(axis=1)  # drawn at temperature 4
+    t = language_id.fit_temperature(logits, labels)
+
+    def loss(t):
+        e = np.exp(logits / t)
+        return -np.log(e[np.arange(200), labels] / e.sum(axis=1)).mean()
+    assert loss(t) <= min(loss(t * 1.05), loss(t / 1.05)) + 1e-9
+
+
+def test_the_anti_join_decides_what_enters_a_run(spark, monkeypatch):
+    """A hash is in the run of the batch that saw it first and in the counters after; else the sums are wrong."""
+    def lines(*rows):
+        return spark.createDataFrame(rows, "doc_id long, h1 long, h2 long")
+
+    batches = [lines((1, 5, 5), (2, 5, 5), (3, 6, 6)), lines((4, 5, 5), (9, 7, 7)), lines((8, 5, 5), (5, 6, 6))]
+    runs = line_dedup.LineRuns(fanout=2, buckets=2)
+    for b in batches:
+        runs.add(b)
+    held = [r.h1 for level in runs.levels for run in level for r in run.collect()]
+    assert sorted(held) == [5, 6, 7]
+    assert sorted((r.h1, r.docs) for c in runs.counters for r in c.collect()) == [(5, 1), (5, 1), (6, 1)]
+    assert sorted(map(tuple, runs.merged(2).collect())) == [(5, 5, 4, 8), (6, 6, 2, 5)]
+    # Run tables are co-located: neither the anti-join nor the merge of runs shuffles them.
+    a, b = (line_dedup._bucketed(x.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
+                                 .repartition(2, "h1", "h2"), "t", 2) for x in batches[:2])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for df in (a.join(b, ["h1", "h2"], "left_anti"), line_dedup.LineRuns._compact([a, b])):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Left out, every batch's hashes enter its run: the counts double.
+    anti = type(batches[0]).join
+    monkeypatch.setattr(type(batches[0]), "join", lambda self, other, on=None, how=None: (
+        self if how == "left_anti" else anti(self, other, on, how)))
+    wrong = line_dedup.LineRuns(fanout=3, buckets=2)
+    for b in batches:
+        wrong.add(b)
+    assert sorted(map(tuple, wrong.merged(2).collect())) != [(5, 5, 4, 8), (6, 6, 2, 5)]
