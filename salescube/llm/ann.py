@@ -15,9 +15,10 @@ structure, such as uniformly random ones, need a large share of all leaves; the
 calibration then pays that price instead of losing recall.
 
 Exact copies are one class, searched once, and a class gives its first ids only.
-The sample's k-th best score is a floor that each query has for sure, and what it
-has found in one round of leaves is its floor in the next, which pops ``GROWTH``
-times as many vectors: a task returns only what reaches the floor.
+Of the sample's vectors in the leaves that a query pops, the k-th best score is a
+floor that it reaches for sure, and what it has found in one round of leaves is
+its floor in the next, which pops ``GROWTH`` times as many vectors: a task returns
+only what reaches the floor.
 Leaves lie in shards, neighbouring leaves together; a shard's vectors and its
 queries are dealt into blocks of bounded size and every two blocks are a task.
 """
@@ -203,7 +204,7 @@ def _search_length(classes: DataFrame, asked: DataFrame, dim: int, k: int, targe
     # A sample may come out empty where there are few rows; any vector fits a forest without levels.
     sample = matrix(sample.combine_chunks(), dim) if len(sample) else np.zeros((0, dim))
     forest = fit(sample, n, radius, scale)
-    known = classes.sparkSession.sparkContext.broadcast(sample)
+    known = classes.sparkSession.sparkContext.broadcast((sample, forest.leaves(sample)))
     largest = radius * scale
     shared = classes.sparkSession.sparkContext.broadcast(forest)
 
@@ -236,17 +237,14 @@ def _search_length(classes: DataFrame, asked: DataFrame, dim: int, k: int, targe
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 q, floor = matrix(batch.column("vec"), dim), batch.column("floor").to_numpy().copy()
-                if after == 0 and len(known.value) >= k:
-                    for at in range(0, len(q), 256):
-                        floor[at:at + 256] = np.partition(inner(q[at:at + 256], known.value), -k, axis=1)[:, -k]
-                    with np.errstate(over="ignore", invalid="ignore"):  # the last bits of a product vary by block
-                        floor -= 1e-9 * np.sqrt(np.einsum("ij,ij->i", q, q)) * largest
-                        floor[np.isnan(floor)] = -np.inf
+                sample, homes = known.value
                 row, tree, shard, wanted = [], [], [], []
                 for i in range(len(q)):
                     popped: dict[tuple[int, int], list[int]] = {}
+                    mine = np.zeros(sizes.shape, bool)
                     past = 0
                     for t, leaf, seen in shared.value.search(q[i], sizes, until):
+                        mine[t, leaf] = True
                         if past >= after:
                             popped.setdefault((t, leaf >> shift), []).append(leaf)
                         past = seen
@@ -254,6 +252,13 @@ def _search_length(classes: DataFrame, asked: DataFrame, dim: int, k: int, targe
                     tree += [t for t, _ in popped]
                     shard += [s for _, s in popped]
                     wanted += popped.values()
+                    # Vectors of the sample that lie in popped leaves will be found, the k-th of them is a floor.
+                    sure = sample[mine[np.arange(len(sizes)), homes].any(axis=1)]
+                    if after == 0 and len(sure) >= k:
+                        floor[i] = np.partition(inner(q[i:i + 1], sure)[0], -k)[-k]
+                with np.errstate(over="ignore", invalid="ignore"):  # the last bits of a product vary by block
+                    floor -= 1e-9 * np.sqrt(np.einsum("ij,ij->i", q, q)) * largest
+                    floor[np.isnan(floor)] = -np.inf
                 at = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("class_id").take(at), batch.column("vec").take(at), pa.array(floor).take(at),
