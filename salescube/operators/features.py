@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salescube.operators.marts import snap_for_state
 from salescube.schemas import (BASE_NUMERIC_FEATURES, CATEGORICAL_FEATURES, GRAIN, ID_COLUMNS,
                                LAGS, OPTIONAL_NUMERIC_FEATURES, ROLLING_WINDOWS)
 
@@ -65,10 +66,14 @@ def build_features(df: DataFrame) -> DataFrame:
     """All features in one projection (W5). Optional columns are used when present."""
     cols = [F.col(c) for c in df.columns if c not in ("month",)]
     feats = lag_columns() + rolling_columns() + [recency_column()] + calendar_columns()
-    out = df.select(*cols, *feats)
-    if "snap_flag" in df.columns:
+    return optional_columns(df.select(*cols, *feats), df.columns)
+
+
+def optional_columns(out: DataFrame, given: list[str]) -> DataFrame:
+    """Null fill and flag of the optional columns that the input has."""
+    if "snap_flag" in given:
         out = out.withColumn("snap_flag", F.coalesce(F.col("snap_flag"), F.lit(0)).cast("int"))
-    if "event_type_1" in df.columns:
+    if "event_type_1" in given:
         out = (out.withColumn("has_event", F.col("event_type_1").isNotNull().cast("int"))
                .withColumn("event_type_1", F.coalesce(F.col("event_type_1"), F.lit("none"))))
     return out
@@ -81,11 +86,19 @@ def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     return numeric + categorical, categorical
 
 
-def next_day_stub(history: DataFrame) -> DataFrame:
-    """History ∪ one stub row per series at global max(date)+1 with NULL sales."""
+def next_day_stub(history: DataFrame, calendar: DataFrame | None = None, stores: DataFrame | None = None) -> DataFrame:
+    """History ∪ one stub row per series at global max(date)+1 with NULL sales.
+
+    With ``calendar`` and ``stores`` the stub has the next day's event and SNAP
+    flag, as the fact has them; days past the calendar leave them null.
+    """
     next_day = F.date_add(history.agg(F.max("date")).scalar(), 1)
     stub = (history.select(*ID_COLUMNS).distinct()
             .select(next_day.alias("date"), *ID_COLUMNS, F.lit(None).cast("long").alias("sales")))
+    if calendar is not None:
+        stub = (stub.join(calendar.where(F.col("date") == next_day), "date", "left")
+                .join(stores.select("store_id", "state_id"), "store_id", "left")
+                .select(*GRAIN, "sales", "event_type_1", snap_for_state().alias("snap_flag")))
     return history.unionByName(stub, allowMissingColumns=True)
 
 

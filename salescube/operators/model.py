@@ -211,17 +211,25 @@ def carry_price(history: DataFrame) -> DataFrame:
     return history.withColumn("sell_price", F.last("sell_price", ignorenulls=True).over(upto))
 
 
-def predict_next_day(history: DataFrame, model: Model, reference_stub: bool = False) -> DataFrame:
-    """One-step-ahead forecast of every series (M4): stub at global max+1 -> W5 -> score.
+def next_day_features(history: DataFrame, calendar: DataFrame | None = None, stores: DataFrame | None = None,
+                      reference_stub: bool = False) -> DataFrame:
+    """The features of the day after the history's last, one row per series (W10 -> W5).
 
-    The stub row has the last known price; ``reference_stub`` leaves it null.
+    The row has the last known price and the next day's event and SNAP flag from
+    the calendar, where it is given; ``reference_stub`` leaves them null.
     """
-    aug = features.next_day_stub(history)
-    if not reference_stub:
-        aug = carry_price(aug)
-    featured = features.build_features(aug)
+    if reference_stub:
+        aug = features.next_day_stub(history)
+    else:
+        aug = carry_price(features.next_day_stub(history, calendar, stores))
     target = F.date_add(history.agg(F.max("date")).scalar(), 1)
-    return score(model, featured.filter(F.col("date") == target))
+    return features.build_features(aug).filter(F.col("date") == target)
+
+
+def predict_next_day(history: DataFrame, model: Model, reference_stub: bool = False,
+                     calendar: DataFrame | None = None, stores: DataFrame | None = None) -> DataFrame:
+    """One-step-ahead forecast of every series (M4): stub at global max+1 -> W5 -> score."""
+    return score(model, next_day_features(history, calendar, stores, reference_stub))
 
 
 def backtest(history: DataFrame, targets: DataFrame, model: Model) -> DataFrame:

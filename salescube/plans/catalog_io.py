@@ -254,7 +254,7 @@ def batch_scores(spark, sf_dir):
     recent = L.fct_window(F.date_sub(L.last_date, 60))
     # Q5: the table served from must carry every column training used.
     hist = quality.require_columns(recent, RAW_SOURCE_COLUMNS, "serving extract").select(*RAW_SOURCE_COLUMNS)
-    return mdl.predict_next_day(hist, trained(spark, sf_dir)[0])
+    return mdl.predict_next_day(hist, trained(spark, sf_dir)[0], calendar=L.dim_calendar, stores=L.dim_store)
 
 
 @register("backtest_scores", None)
@@ -294,7 +294,7 @@ def series_forecast(spark, sf_dir):
            .select(*RAW_SOURCE_COLUMNS))
     # The point filter reaches the Parquet scan; the stub day is the series' own
     # last date + 1, as for a single-series request.
-    return mdl.predict_next_day(one, trained(spark, sf_dir)[0])
+    return mdl.predict_next_day(one, trained(spark, sf_dir)[0], calendar=L.dim_calendar, stores=L.dim_store)
 
 
 # --------------------------------------------------------------------------- CSV edge, daily catch-up

@@ -65,14 +65,16 @@ class DriverTables:
     """Lazily built raw tables over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, store_level: str = "region",
-                 item_level: str = "brand", store=None):
+                 item_level: str = "brand", store=None, sparse: bool = False):
         """`store`: optional ``Warehouse``; when given, the raw tables are written
-        once and read back (the application's raw layer is stored tables)."""
+        once and read back (the application's raw layer is stored tables).
+        `sparse`: series hold only their days with sales; no panel is built."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.store_level = store_level
         self.item_level = item_level
         self.store = store
+        self.sparse = sparse
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         return self.store.table(name, lambda: df) if self.store is not None else df
@@ -150,8 +152,11 @@ class DriverTables:
 
         Built as union + aggregate (no join): the day skeleton is generated
         per series with ``sequence`` (length bounded by the day span) and
-        merged with the observed rows in one hash aggregate.
+        merged with the observed rows in one hash aggregate. Sparse series have
+        no rows but the observed ones.
         """
+        if self.sparse:
+            return self.sales_base
         skeleton = self.series.select(
             *ID_COLUMNS, F.explode(F.sequence(self.first_day, self.last_day)).alias("date"),
             F.lit(0).cast("long").alias("sales"))
