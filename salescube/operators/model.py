@@ -27,7 +27,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salescube.operators import baselines, features, metrics
+from salescube.operators import baselines, boosting, features, metrics
 from salescube.schemas import GRAIN, ID_COLUMNS, VALID_DAYS, WRMSSE_THRESHOLD
 
 PATIENCE = 20
@@ -191,7 +191,7 @@ def score(model: Model, featured: DataFrame) -> DataFrame:
     return out.select(*GRAIN, baselines.clip_round(F.col("prediction")).alias("predicted_sales"))
 
 
-def training_metrics(res: TrainResult) -> DataFrame:
+def training_metrics(res: TrainResult | LeafwiseResult) -> DataFrame:
     """One row: wrmsse, mape, rmse, n, n_series, best_iteration, n_train_rows, n_valid_rows."""
     actual = res.valid.select(*GRAIN, "sales")
     fc = res.scored_valid.select(*GRAIN, F.col("predicted_sales").alias("sales"))
@@ -203,6 +203,45 @@ def training_metrics(res: TrainResult) -> DataFrame:
                      n_train.alias("n_train_rows"), n_valid.alias("n_valid_rows"))
 
 
+@dataclass
+class LeafwiseResult:
+    booster: boosting.Booster
+    best_iteration: int
+    rounds: int
+    scored_valid: DataFrame
+    train: DataFrame
+    valid: DataFrame
+
+
+def train_leafwise(history: DataFrame, valid_days: int = VALID_DAYS, weight_dampening: str | None = None,
+                   settings: boosting.Settings = boosting.Settings(), keep=None) -> LeafwiseResult:
+    """W5 -> P18 -> W12 -> W11 -> M2 with the leaf-wise booster (M3).
+
+    Missing features and categories go into the splits as they are: no row is
+    dropped, no price filled, no key encoded. Training rows weigh as their
+    series sold, dampened (P21); the validation error stays unweighted.
+    """
+    keep = keep or (lambda name, build: build().checkpoint())
+    featured = features.build_features(history)
+    feats, categorical = features.feature_columns(featured)
+    numeric = [c for c in feats if c not in categorical]
+    tr, va = baselines.time_split(featured, valid_days)
+    if weight_dampening is not None:
+        total = F.sum(F.col("sales").cast("double")).over(Window.partitionBy(*ID_COLUMNS))
+        tr = tr.withColumn("weight", metrics.dampen(total, weight_dampening))
+    tr, va = keep("leafwise_train", lambda: tr), keep("leafwise_valid", lambda: va)
+    booster = boosting.fit(tr, va, numeric, categorical, weight="weight" if weight_dampening else None,
+                           settings=settings, keep=keep)
+    scored = score_leafwise(booster, va)
+    return LeafwiseResult(booster, len(booster.trees), len(booster.curve), scored, tr, va)
+
+
+def score_leafwise(booster: boosting.Booster, featured: DataFrame) -> DataFrame:
+    """Predict, clip at 0, round half-to-even (P14): date, store_id, item_id, predicted_sales."""
+    return boosting.predict(featured, booster).select(
+        *GRAIN, baselines.clip_round(F.col("prediction")).alias("predicted_sales"))
+
+
 def carry_price(history: DataFrame) -> DataFrame:
     """Null prices take the series' last known one."""
     if "sell_price" not in history.columns:

@@ -104,15 +104,19 @@ def fct_sales(spark, sf_dir):
     return layers(spark, sf_dir).build_fct_sales().select(*FCT_COLS, "sell_price")
 
 
+def training_extract(L: Layers) -> DataFrame:
+    """The training columns of the range that ends with the latest fact date."""
+    latest = L.spark.range(1).select(L.last_date.alias("date")).first()["date"]
+    start, end = dates.resolve_date_range(today=latest)
+    return L.fct_window(F.lit(start), F.lit(end)).select(*RAW_SOURCE_COLUMNS)
+
+
 @register("extract_range", q("""
 SELECT date, store_id, item_id, sales, sell_price, snap_flag, event_type_1
 FROM fct_sales, fct_last WHERE date BETWEEN last_date - 730 AND last_date"""))
 def extract_range(spark, sf_dir):
-    """I4 + I14: fixed column list over [end - 730, end], end = latest fact date."""
-    L = layers(spark, sf_dir)
-    end = L.last_date
-    df = L.fct_window(F.date_sub(end, 730), end)
-    return df.select(*[c for c in RAW_SOURCE_COLUMNS if c != "sell_price"], "sell_price")
+    """I4 + I14 + S1: fixed column list over [end - 730, end], end = latest fact date, in series order."""
+    return training_extract(layers(spark, sf_dir)).orderBy("store_id", "item_id", "date")
 
 
 @register("recent_history", q("""

@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from salescube.functions import dates
 from salescube.operators import model as mdl
-from salescube.plans.catalog import MAPPING, layers, r6, register
+from salescube.plans.catalog import MAPPING, layers, r6, register, training_extract
 from salescube.plans.catalog_jobs import DRIFT_FEATURES, RUNS_SQL, build_model_runs, model_monitoring, model_runs
 from salescube.plans.oracle import features_sql, q
-from salescube.schemas import (BACKFILL_DAYS, GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FEED_RAW,
+from salescube.schemas import (BACKFILL_DAYS, GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG, SALES_DAILY_FEED_RAW, VALID_DAYS,
                                TRAINING_LOOKBACK_DAYS)
 from salescube.session import shared_path
 from salescube.sources import io
 from salescube.streaming.feed import latest_feed, run_feed_stream
-from salescube.operators import drift, features, marts, quality, staging
+from salescube.operators import boosting, drift, features, marts, quality, staging
 
 LEGACY_FEED_DAYS = 7     # first feed days were written before the price column existed
 REPLACE_DAYS = 14        # trailing prediction days a backfill rewrites
@@ -171,6 +171,41 @@ def train_metrics(spark, sf_dir):
                                             "best_iteration", "n_train_rows", "n_valid_rows")
 
 
+_LEAFWISE: dict = {}
+# A short fit: each round is some eight passes over the rows. The operator's defaults are those of the
+# application, up to 500 rounds of 63 leaves with patience 20.
+LEAFWISE = boosting.Settings(rounds=3, leaves=31)
+
+
+def leafwise(spark, sf_dir):
+    """The leaf-wise booster on the training extract, sqrt-weighted, fitted once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(MAPPING.items())))
+    if key not in _LEAFWISE:
+        L = layers(spark, sf_dir)
+        extract = training_extract(L)
+        _LEAFWISE[key] = mdl.train_leafwise(extract, weight_dampening="sqrt", settings=LEAFWISE, keep=L._keep)
+    return _LEAFWISE[key]
+
+
+@register("leafwise_metrics", None)
+def leafwise_metrics(spark, sf_dir):
+    """Validation metrics of the leaf-wise booster; missing prices and keys go into its splits."""
+    res = leafwise(spark, sf_dir)
+    return mdl.training_metrics(res).select(*r6("wrmsse", "mape", "rmse"), "n", "n_series", "best_iteration",
+                                            F.lit(res.rounds).alias("rounds"), "n_train_rows", "n_valid_rows")
+
+
+@register("leafwise_scores", q(f"""
+SELECT f.date, f.store_id, f.item_id, f.sales, true AS whole_and_not_negative
+FROM fct_sales f, fct_last WHERE f.date > last_date - {VALID_DAYS}"""))
+def leafwise_scores(spark, sf_dir):
+    """M5: the booster's score of every validation row; each must be a whole number of at least 0."""
+    res = leafwise(spark, sf_dir)
+    p = F.col("predicted_sales")
+    return (res.scored_valid.join(res.valid.select(*GRAIN, "sales"), GRAIN)
+            .select(*GRAIN, "sales", ((p >= 0) & (p == F.rint(p))).alias("whole_and_not_negative")))
+
+
 # The rows that the model is fitted and validated on, from the driver's tables.
 MODEL_ROWS_SQL = """,
 model_extract AS (
