@@ -6,7 +6,7 @@ from __future__ import annotations
 def _load():
     # Importing registers the queries of each catalog module.
     from salescube.plans import catalog  # noqa: F401
-    from salescube.plans import catalog_io, catalog_jobs, catalog_sparse  # noqa: F401
+    from salescube.plans import catalog_incremental, catalog_io, catalog_jobs, catalog_sparse  # noqa: F401
     return catalog.REGISTRY
 
 

@@ -15,6 +15,8 @@ earlier values of those series only; other series of that date are kept
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,9 @@ DELIVERED = "delivered_at"
 
 
 def run_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType, landing: str,
-                    checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+                    checkpoint: str, max_files_per_trigger: int | None = None,
+                    after_batch: Callable[[int], None] | None = None) -> None:
+    """`after_batch` is called with the number of each batch when its folder is written."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -35,6 +39,8 @@ def run_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("ingested_batch", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").parquet(f"{landing}/batch_id={batch_id}"))
+        if after_batch is not None:
+            after_batch(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
