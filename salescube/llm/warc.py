@@ -34,6 +34,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
+READ_FRAMES = 64         # frames that a reading task opens, 16 MiB of plain records
 MIN_REVISIT_BYTES = 100
 DATE = "2000-01-01T00:00:00Z"
 
@@ -230,9 +231,11 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                     [pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
                     ["bundle", "start", "packed", "plain"])
 
+    # A row stands for a whole frame: tasks go by frames, not by the rows' few bytes.
+    held = index.agg(F.count_distinct("bundle", "start")).first()[0]
     frames = (index.select("bundle").distinct().mapInArrow(
         frames_of, "bundle string, start long, packed long, plain long")
-        .repartition("bundle", "start"))
+        .repartition(max(1, -(-held // READ_FRAMES)), "bundle", "start"))
     return frames.mapInArrow(lambda b: _read_frames(b, folder, None), RECORD)
 
 
