@@ -3,12 +3,10 @@
 Layout of the computation (all features at once, no per-feature loop):
 
 1. unpivot the numeric feature columns to long ``(feature, value)``;
-2. reference decile edges per feature: one grouped aggregate of
-   ``percentile(value, [0, .1, …, 1])`` (exact, equals numpy's linear
-   interpolation; partial aggregation merges value→count maps map-side, so
-   the state of one feature is bounded by its distinct values, not its rows).
-   ``method="approx"`` swaps in the bounded-memory ``percentile_approx``
-   sketch for continuous features with unbounded domains;
+2. the long rows are counted per distinct value; reference decile edges come
+   from a distributed running count over those values (``exact_edges``), equal
+   to numpy's linear interpolation. ``method="approx"`` takes them from the
+   bounded-memory ``percentile_approx`` sketch;
 3. bin = number of inner edges <= value (np.histogram with ±inf outer edges);
 4. counts per (feature, bin) on both sides, a bin grid from the edges
    (≤ bins rows per feature), shares + ε, Σ (c − r)·ln(c / r).

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salescube.operators.marts import snap_for_state
 from salescube.schemas import (BASE_NUMERIC_FEATURES, CATEGORICAL_FEATURES, GRAIN, ID_COLUMNS,
@@ -29,14 +30,29 @@ def lag_columns(lags=LAGS, col: str = "sales") -> list[Column]:
     return [F.lag(F.col(col).cast("double"), k).over(w).alias(f"{col}_lag_{k}") for k in lags]
 
 
-def rolling_columns(windows=ROLLING_WINDOWS, col: str = "sales") -> list[Column]:
-    """Mean (min 1 row) and sample std (min 2 rows) over the n strictly prior rows."""
+EXACT = float(1 << 53)   # whole doubles below are exact
+
+
+def rolling_columns(windows=ROLLING_WINDOWS, col: str = "sales", whole: bool = False) -> list[Column]:
+    """Mean (min 1 row) and sample std (min 2 rows) over the n strictly prior rows.
+
+    Of `whole` numbers the deviation comes from exact sums, so that every
+    engine gets the same bits; where the sums could be inexact, and for other
+    numbers, it is Spark's running one.
+    """
     out = []
     for n in windows:
         frame = series_window().rowsBetween(-n, -1)
         x = F.col(col).cast("double")
         out.append(F.avg(x).over(frame).alias(f"{col}_roll_mean_{n}"))
-        out.append(F.stddev_samp(x).over(frame).alias(f"{col}_roll_std_{n}"))
+        std = F.stddev_samp(x).over(frame)
+        if whole:
+            c = F.count(x).over(frame).cast("double")
+            scaled = c * F.sum(x * x).over(frame)
+            total = F.sum(x).over(frame)
+            exact = F.sqrt((scaled - total * total) / (c * (c - 1)))
+            std = F.when((c >= 2) & (scaled < EXACT), exact).otherwise(std)
+        out.append(std.alias(f"{col}_roll_std_{n}"))
     return out
 
 
@@ -65,7 +81,8 @@ def calendar_columns(date: str = "date") -> list[Column]:
 def build_features(df: DataFrame) -> DataFrame:
     """All features in one projection (W5). Optional columns are used when present."""
     cols = [F.col(c) for c in df.columns if c not in ("month",)]
-    feats = lag_columns() + rolling_columns() + [recency_column()] + calendar_columns()
+    whole = isinstance(df.schema["sales"].dataType, T.IntegralType)
+    feats = lag_columns() + rolling_columns(whole=whole) + [recency_column()] + calendar_columns()
     return optional_columns(df.select(*cols, *feats), df.columns)
 
 

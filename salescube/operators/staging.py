@@ -10,18 +10,24 @@ from salescube.schemas import DATE_OFFSET_DAYS, WIDE_ID_COLUMNS
 
 
 def melt_sales(sales_wide: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Wide d_1..d_n matrix -> long rows, `d` mapped to a calendar date.
+    """Wide d_1..d_n matrix -> long rows, the day's number mapped to a calendar date.
 
-    Unpivot is a narrow per-row generator; the `d -> date` lookup joins the
-    calendar, whose size is bounded by the day span (Spark broadcasts it when
-    its measured size is under the broadcast threshold).
+    One generator over an array of the day columns: a day's place gives its
+    number, which joins the calendar (its size is bounded by the day span;
+    Spark broadcasts it when its measured size is under the broadcast
+    threshold). Days that the calendar lacks go; null sales stay null.
     """
-    dcols = [c for c in sales_wide.columns if c.startswith("d_")]
+    numbers = sorted(int(c[2:]) for c in sales_wide.columns if c.startswith("d_"))
     ids = [c for c in WIDE_ID_COLUMNS if c in sales_wide.columns]
-    long = sales_wide.unpivot(ids, dcols, "d", "sales")
-    return (long.join(calendar.select("d", "date"), "d", "inner")
-            .select("date", "store_id", "item_id", "dept_id", "cat_id", "state_id",
-                    F.col("sales").cast("long").alias("sales")))
+    days = F.array(*[F.col(f"d_{n}").cast("long") for n in numbers])
+    place = F.col("place")
+    if numbers and numbers[-1] - numbers[0] + 1 == len(numbers):
+        number = place + numbers[0]
+    else:
+        number = F.get(F.array(*[F.lit(n) for n in numbers]).cast("array<int>"), place)
+    long = sales_wide.select(*ids, F.posexplode(days).alias("place", "sales")).withColumn("day", number)
+    return (long.join(calendar.select(F.substring("d", 3, 10).cast("int").alias("day"), "date"), "day", "inner")
+            .select("date", "store_id", "item_id", "dept_id", "cat_id", "state_id", "sales"))
 
 
 def stg_sales_history(raw: DataFrame, offset: int = DATE_OFFSET_DAYS) -> DataFrame:

@@ -34,14 +34,11 @@ def _day_marks(fct: DataFrame):
     return hi, mid, q1
 
 
-DRIFT_DECIMALS = 9   # features are compared at 1e-9: engines differ in the last bits of stddev
-
-
 def drift_features(spark, sf_dir) -> DataFrame:
     """The featured fact (W5), stored once; drift reads it instead of re-windowing."""
     L = layers(spark, sf_dir)
     feat = L._keep("features", lambda: features.build_features(L.fct_sales))
-    keep = [F.round(F.col(c).cast("double"), DRIFT_DECIMALS).alias(c)
+    keep = [F.col(c).cast("double").alias(c)
             for c in DRIFT_FEATURES if c in feat.columns]
     return feat.select("date", *keep)
 
@@ -93,7 +90,7 @@ def _levels() -> str:
 FEATS = ", ".join(DRIFT_FEATURES)
 DRIFT_PRELUDE = f""",
 feat_long AS (
-  UNPIVOT (SELECT date, {", ".join(f"ROUND(CAST({c} AS DOUBLE), 9) AS {c}" for c in DRIFT_FEATURES)} FROM features_full)
+  UNPIVOT (SELECT date, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DRIFT_FEATURES)} FROM features_full)
   ON {FEATS} INTO NAME feature VALUE value),
 marks AS (
   SELECT hi, lo + CAST(FLOOR((hi - lo) / 2) AS INTEGER) AS mid, lo + CAST(FLOOR((hi - lo) / 4) AS INTEGER) AS q1
@@ -243,7 +240,7 @@ REFERENCE_DAYS, CURRENT_DAYS = 365, 30
 
 
 def _unpivot_sql(src: str, side: str) -> str:
-    cols = ", ".join(f"ROUND(CAST({c} AS DOUBLE), 9) AS {c}" for c in DRIFT_FEATURES)
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DRIFT_FEATURES)
     return (f"SELECT '{side}' AS side, feature, value FROM "
             f"(UNPIVOT (SELECT {cols} FROM {src}) ON {FEATS} INTO NAME feature VALUE value)")
 
@@ -269,7 +266,7 @@ def psi_drift_reference_windows(spark, sf_dir):
 
     def feats(lo, hi):
         f = features.build_features(L.fct_window(lo, hi).select(*RAW_SOURCE_COLUMNS))
-        return f.select(*[F.round(F.col(c).cast("double"), DRIFT_DECIMALS).alias(c)
+        return f.select(*[F.col(c).cast("double").alias(c)
                           for c in DRIFT_FEATURES if c in f.columns])
 
     res = drift.check_feature_drift(feats(rs, cs), feats(cs, today), DRIFT_FEATURES)

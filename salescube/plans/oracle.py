@@ -20,9 +20,13 @@ FEATURES_T = """{name}_w AS (
     CAST(LAG(sales, 14) OVER w AS DOUBLE) AS sales_lag_14,
     CAST(LAG(sales, 28) OVER w AS DOUBLE) AS sales_lag_28,
     AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_7,
-    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_roll_std_7,
+    CASE WHEN COUNT(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 2 THEN SQRT((CAST(COUNT(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) * CAST(SUM(sales * sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      - CAST(SUM(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) * CAST(SUM(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE))
+      / (CAST(COUNT(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) * (CAST(COUNT(sales) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) - 1))) END AS sales_roll_std_7,
     AVG(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_28,
-    STDDEV_SAMP(CAST(sales AS DOUBLE)) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS sales_roll_std_28,
+    CASE WHEN COUNT(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 2 THEN SQRT((CAST(COUNT(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE) * CAST(SUM(sales * sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      - CAST(SUM(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE) * CAST(SUM(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE))
+      / (CAST(COUNT(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE) * (CAST(COUNT(sales) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE) - 1))) END AS sales_roll_std_28,
     ROW_NUMBER() OVER w AS rn,
     CASE WHEN ROW_NUMBER() OVER w = 1 OR COALESCE(LAG(sales, 1) OVER w, 0) > 0
          THEN ROW_NUMBER() OVER w END AS reset_rn
