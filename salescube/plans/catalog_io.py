@@ -22,7 +22,7 @@ from salescube.schemas import (BACKFILL_DAYS, GRAIN, RAW_SOURCE_COLUMNS, RUN_LOG
 from salescube.session import shared_path
 from salescube.sources import io
 from salescube.streaming.feed import latest_feed, run_feed_stream
-from salescube.operators import boosting, drift, features, marts, quality, staging
+from salescube.operators import baselines, boosting, drift, features, marts, quality, staging
 
 LEGACY_FEED_DAYS = 7     # first feed days were written before the price column existed
 REPLACE_DAYS = 14        # trailing prediction days a backfill rewrites
@@ -349,38 +349,31 @@ def csv_roundtrip(spark, sf_dir):
 CATCH_UP_DAYS = 14
 
 
-def _catch_up_block_sql(name: str, src: str, offset: str) -> str:
-    return f""",
-{name}_tail AS (
+@register("daily_catch_up", q(f""",
+ch_hist AS (SELECT date, store_id, item_id, sales FROM fct_sales WHERE date <= (SELECT MAX(date) FROM stg_sales_history)),
+ch_last AS (SELECT MAX(date) AS d FROM ch_hist),
+ch_tail AS (
   SELECT store_id, item_id, CAST(sales AS DOUBLE) AS x,
-    ROW_NUMBER() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS rd FROM {src}),
-{name} AS (
-  SELECT CAST(l.d + {offset} + CAST(k.k AS INTEGER) AS DATE) AS date, t.store_id, t.item_id,
-    CAST(round_even(GREATEST(COALESCE(
-      AVG(CASE WHEN ((-t.rd) % 7 + 7) % 7 + 1 = k.k AND (t.rd + k.k - 1) / 7 BETWEEN 1 AND 8 THEN t.x END),
-      AVG(CASE WHEN t.rd <= 7 THEN t.x END), 0.0), 0.0), 0) AS BIGINT) AS sales
-  FROM {name}_tail t, (SELECT UNNEST(range(1, 8)) AS k) k, ch_last l
-  WHERE t.rd <= 62 GROUP BY 1, 2, 3)"""
-
-
-@register("daily_catch_up", q(""",
-ch_hist AS (
-  SELECT date, store_id, item_id, sales, sell_price FROM fct_sales
-  WHERE date <= (SELECT MAX(date) FROM stg_sales_history)),
-ch_last AS (SELECT MAX(date) AS d FROM ch_hist)""" + _catch_up_block_sql("b1", "ch_hist", "0") + """,
-b2_src AS (SELECT date, store_id, item_id, sales FROM ch_hist UNION ALL SELECT date, store_id, item_id, sales FROM b1)"""
-    + _catch_up_block_sql("b2", "b2_src", "7") + """
-SELECT b.date, b.store_id, b.item_id, b.sales, p.sell_price
-FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) b
-LEFT JOIN (SELECT store_id, item_id, arg_max(sell_price, date) AS sell_price FROM ch_hist
-           WHERE sell_price IS NOT NULL GROUP BY store_id, item_id) p
-  ON b.store_id = p.store_id AND b.item_id = p.item_id"""))
+    ROW_NUMBER() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS rd FROM ch_hist),
+ch_made AS (
+  SELECT CAST(l.d + CAST(k.k AS INTEGER) AS DATE) AS date, t.store_id, t.item_id,
+    round_even(GREATEST(COALESCE(AVG(CASE WHEN (t.rd - 1 + k.k) % 7 = 0 THEN t.x END),
+      AVG(CASE WHEN t.rd <= 7 THEN t.x END), 0.0), 0.0), 0) AS p
+  FROM ch_tail t, (SELECT UNNEST(range(1, {CATCH_UP_DAYS + 1})) AS k) k, ch_last l
+  WHERE t.rd <= 56 GROUP BY 1, 2, 3)
+SELECT m.store_id, m.item_id, CAST(COUNT(*) AS BIGINT) AS n_days, CAST(SUM(a.sales) AS BIGINT) AS actual_sales,
+  CAST(SUM(p) AS BIGINT) AS predicted_sales, ROUND(AVG(ABS(p - a.sales)), 6) AS mae,
+  ROUND(SQRT(AVG(POWER(p - a.sales, 2))), 6) AS rmse
+FROM ch_made m JOIN stg_sales_daily_feed a ON a.date = m.date AND a.store_id = m.store_id AND a.item_id = m.item_id
+GROUP BY m.store_id, m.item_id"""))
 def daily_catch_up(spark, sf_dir):
-    """I11 + I12 + W9 + H4 + U2: the daily ingest over a 14-day gap. The history
-    is the fact up to the end of the frozen history; each generated week feeds
-    the next; prices carry forward."""
-    from salescube.operators import baselines
+    """W9 + H4: the days of the feed forecast from the frozen history and scored, series by series,
+    against what the feed brought."""
     L = layers(spark, sf_dir)
     end = L.stg_sales_history.agg(F.max("date")).scalar()
-    hist = L.fct_sales.filter(F.col("date") <= end).select("date", "store_id", "item_id", "sales", "sell_price")
-    return baselines.catch_up(hist, CATCH_UP_DAYS)
+    made = baselines.same_phase_forecast(L.fct_sales.filter(F.col("date") <= end), CATCH_UP_DAYS)
+    err = F.col("predicted_sales") - F.col("sales")
+    return (made.join(L.stg_sales_daily_feed.select(*GRAIN, "sales"), GRAIN).groupBy("store_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_days"), F.sum("sales").alias("actual_sales"),
+        F.sum("predicted_sales").cast("long").alias("predicted_sales"), F.round(F.avg(F.abs(err)), 6).alias("mae"),
+        F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse")))

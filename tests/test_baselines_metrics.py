@@ -118,3 +118,22 @@ def test_time_split(spark):
     tr, va = baselines.time_split(hist, 28)
     assert tr.agg(F.max("date")).first()[0] + dt.timedelta(days=1) == va.agg(F.min("date")).first()[0]
     assert va.count() == 28
+
+
+def test_same_phase_forecast_reads_history_only(spark):
+    # Three weeks of the weekday's number, the first week ten higher; a series of three days.
+    values = [i % 7 + (10 if i < 7 else 0) for i in range(21)]
+    hist = long_frame(spark, {("S", "A"): values})
+    short = long_frame(spark, {("S", "B"): [3, 6, 4]}, start="2024-01-19")
+    out = baselines.same_phase_forecast(hist.unionByName(short), 9, weeks=2).orderBy("date")
+    a = [r["predicted_sales"] for r in out.where("item_id = 'A'").collect()]
+    assert a == [0, 1, 2, 3, 4, 5, 6, 0, 1]
+    b = [r["predicted_sales"] for r in out.where("item_id = 'B'").collect()]
+    assert b == [4, 4, 4, 4, 3, 6, 4, 4, 4]
+    assert out.first()["date"] == dt.date(2024, 1, 22)
+
+
+def test_same_phase_forecast_rounds_half_to_even_and_takes_no_rows(spark):
+    hist = long_frame(spark, {("S", "A"): [1, 0, 0, 0, 0, 0, 0, 2, 0, 0, 0, 0, 0, 0]})
+    assert baselines.same_phase_forecast(hist, 1).collect()[0]["predicted_sales"] == 2
+    assert baselines.same_phase_forecast(hist.limit(0), 3).count() == 0
