@@ -28,8 +28,8 @@ def _part_prelude() -> str:
     """The prelude of the oracles with a series for each nation and part, and no panel."""
     text = PRELUDE_T.replace("r.r_name AS store_id, p.p_brand AS item_id",
                              "n.n_name AS store_id, CAST(l.l_partkey AS VARCHAR) AS item_id")
-    a, b = text.index("panel AS ("), text.index("raw_sales_history AS (")
-    text = text[:a] + "panel AS (SELECT date, store_id, item_id, sales FROM sales_base),\n" + text[b:]
+    a, b = text.index("panel AS MATERIALIZED ("), text.index("raw_sales_history AS (")
+    text = text[:a] + "panel AS MATERIALIZED (SELECT date, store_id, item_id, sales FROM sales_base),\n" + text[b:]
     return text.replace("@@FEATURES_FULL@@", "")
 
 

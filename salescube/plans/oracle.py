@@ -50,7 +50,7 @@ FEATURES_T = """{name}_w AS (
 
 PRELUDE_T = f"""
 WITH
-line_facts AS (
+line_facts AS MATERIALIZED (
   SELECT CAST(l.l_shipdate AS DATE) AS date, r.r_name AS store_id, p.p_brand AS item_id,
          l.l_quantity AS quantity, l.l_extendedprice / l.l_quantity AS unit_price
   FROM lineitem l
@@ -60,13 +60,13 @@ line_facts AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey),
 bounds AS (
   SELECT MIN(CAST(l_shipdate AS DATE)) AS d0, MAX(CAST(l_shipdate AS DATE)) AS d1 FROM lineitem),
-sales_base AS (
+sales_base AS MATERIALIZED (
   SELECT date, store_id, item_id, CAST(SUM(quantity) AS BIGINT) AS sales
   FROM line_facts GROUP BY date, store_id, item_id),
 series AS (SELECT DISTINCT store_id, item_id FROM sales_base),
 days AS (
   SELECT CAST(UNNEST(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
-panel AS (
+panel AS MATERIALIZED (
   SELECT d.date, s.store_id, s.item_id, CAST(COALESCE(b.sales, 0) AS BIGINT) AS sales
   FROM series s CROSS JOIN days d
   LEFT JOIN sales_base b ON b.store_id = s.store_id AND b.item_id = s.item_id AND b.date = d.date),
@@ -90,7 +90,7 @@ raw_sales_daily_feed AS (
   JOIN (SELECT store_id, item_id, MEDIAN(sell_price) AS usual FROM raw_sell_prices GROUP BY store_id, item_id) m
     ON p.store_id = m.store_id AND p.item_id = m.item_id
   CROSS JOIN bounds WHERE p.date > bounds.d1 - 14),
-raw_calendar AS (
+raw_calendar AS MATERIALIZED (
   SELECT 'd_' || CAST((d.date - b.d0) + 1 AS VARCHAR) AS d, d.date,
     CAST(11101 + FLOOR(((d.date - b.d0) + 1) / 7) AS INTEGER) AS wm_yr_wk,
     dayname(d.date) AS weekday,
@@ -109,7 +109,7 @@ stg_sales_history AS (
 stg_sales_daily_feed AS (
   SELECT date + {OFF} AS date, store_id, item_id, CAST(sales AS BIGINT) AS sales,
          TRY_CAST(sell_price AS DOUBLE) AS sell_price FROM raw_sales_daily_feed),
-stg_sales AS (
+stg_sales AS MATERIALIZED (
   SELECT date, store_id, item_id, sales, CAST(NULL AS DOUBLE) AS sell_price FROM stg_sales_history
   UNION ALL
   SELECT date, store_id, item_id, sales, sell_price FROM stg_sales_daily_feed),
@@ -118,7 +118,7 @@ stg_calendar AS (
     CAST(month(date + {OFF}) AS INTEGER) AS month, CAST(year(date + {OFF}) AS INTEGER) AS year,
     event_name_1, event_type_1, event_name_2, event_type_2, snap_ca, snap_tx, snap_wi
   FROM raw_calendar),
-stg_prices AS (
+stg_prices AS MATERIALIZED (
   SELECT store_id, item_id, wm_yr_wk, CAST(sell_price AS DOUBLE) AS sell_price FROM raw_sell_prices),
 dim_item AS (SELECT DISTINCT item_id, dept_id, cat_id FROM stg_sales_history),
 dim_store AS (SELECT DISTINCT store_id, state_id FROM stg_sales_history),
