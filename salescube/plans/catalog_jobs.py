@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescube.operators import baselines, drift, features, metrics
+from salescube.operators import baselines, drift, features, metrics, sketches
 from salescube.plans.catalog import layers, r6, register
 from salescube.plans.oracle import features_sql, q
 from salescube.schemas import (BASE_NUMERIC_FEATURES, GRAIN, OPTIONAL_NUMERIC_FEATURES, PSI_THRESHOLD,
@@ -234,6 +234,26 @@ def retrain_decision(spark, sf_dir):
     return dec.select("n_drifted", "drift_trigger", *r6("latest_wrmsse"), "metric_trigger", "retrain")
 
 
+SKETCH_TOLERANCE = 0.05     # what the sketches' rank error may change in a PSI
+
+
+@register("psi_drift_sketches", q(MONITORING_SQL + """
+SELECT p.feature, r.n AS n_ref, c.n AS n_cur, TRUE AS near_exact
+FROM psi_new p
+JOIN (SELECT feature, CAST(COUNT(*) AS BIGINT) AS n FROM ref_new GROUP BY feature) r ON r.feature = p.feature
+JOIN (SELECT feature, CAST(COUNT(*) AS BIGINT) AS n FROM cur_new GROUP BY feature) c ON c.feature = p.feature"""))
+def psi_drift_sketches(spark, sf_dir):
+    """A11 + I6: the drift check from stored day sketches alone; beside it, whether each PSI is
+    that of the stored exact check of the same windows."""
+    L = layers(spark, sf_dir)
+    days = L._keep("day_sketches", lambda: sketches.day_sketches(drift_features(spark, sf_dir), DRIFT_FEATURES))
+    _, mid, _ = _day_marks(L.fct_sales)
+    made = sketches.sketch_drift(days, F.col("date") <= mid, F.col("date") > mid)
+    exact = drift.latest_batch(model_monitoring(spark, sf_dir)).select("feature", F.col("psi").alias("exact"))
+    return made.join(exact, "feature").select(
+        "feature", "n_ref", "n_cur", (F.abs(F.col("psi") - F.col("exact")) <= SKETCH_TOLERANCE).alias("near_exact"))
+
+
 # --------------------------------------------------------------------------- reference-window drift
 
 REFERENCE_DAYS, CURRENT_DAYS = 365, 30

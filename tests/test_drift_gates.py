@@ -2,8 +2,9 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from salescube.operators import drift
+from salescube.operators import drift, sketches
 
 
 def psi_of(spark, ref, cur):
@@ -133,3 +134,26 @@ def test_exact_edges_without_exchange_reuse(spark):
             assert drift.exact_edges(values, ["feature"]).first()["edges"] == pytest.approx(want, rel=1e-12)
         finally:
             spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_day_sketches_stay_within_their_rank_error(spark):
+    rows = spark.range(40000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("date"),
+        (F.rand(3) * F.when(F.col("id") % 40 < 20, 1.0).otherwise(1.5)).alias("x"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).alias("zeros"),
+        F.lit(7.0).alias("same"), F.lit(None).cast("double").alias("none"))
+    first = F.col("date") < "2024-01-21"
+    out = {r["feature"]: r for r in sketches.sketch_drift(
+        sketches.day_sketches(rows, ["x", "zeros", "same", "none"]), first, ~first).collect()}
+    exact = {r["feature"]: r["psi"] for r in drift.check_feature_drift_split(
+        rows, first, ~first, ["x", "zeros", "same"]).collect()}
+    assert set(out) == {"x", "zeros", "same"}
+    assert out["x"]["n_ref"] == out["x"]["n_cur"] == 20000
+    ref = sorted(r["x"] for r in rows.where(first).select("x").collect())
+    for level, edge in zip(drift.quantile_levels(), out["x"]["edges"]):
+        assert abs(sum(v <= edge for v in ref) / len(ref) - level) <= 2 * sketches.RANK_ERROR
+    for name in exact:
+        assert out[name]["psi"] == pytest.approx(exact[name], abs=0.05), name
+    assert out["same"]["psi"] == 0.0 and out["x"]["drifted"]
+    assert sketches.sketch_drift(sketches.day_sketches(rows.limit(0), ["x"]), first, ~first).count() == 0
+    assert [r["psi"] for r in sketches.sketch_drift(sketches.day_sketches(rows.where(first), ["x"]), first, ~first).collect()] == [0.0]
