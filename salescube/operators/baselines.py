@@ -115,3 +115,54 @@ def same_phase_forecast(history: DataFrame, n_days: int, weeks: int = SAME_PHASE
     last = history.agg(F.max("date")).scalar()
     return ahead.select(F.date_add(last, F.col("step")).alias("date"), *ID_COLUMNS,
                         clip_round(F.coalesce(base, "fallback", F.lit(0.0))).alias("predicted_sales"))
+
+
+def _block(work: DataFrame, start_day, block: int, weeks: int) -> DataFrame:
+    """Next `block` (≤ 7) days of every series from its trailing rows.
+
+    Target k days after the series' last row averages the rows at row
+    distance 7j - k + 1 (j = 1..weeks), i.e. the same weekday as the target,
+    all at least 7 rows old. Each tail row feeds exactly one k, so one grouped
+    aggregate with `block` conditional means covers the whole block.
+    """
+    t = _tail(work, weeks * 7 + 6)
+    x = F.col("sales").cast("double")
+    k = F.pmod(-F.col("rd"), F.lit(7)) + 1
+    j = (F.col("rd") + k - 1) / 7
+    means = [F.avg(F.when((k == i) & (j >= 1) & (j <= weeks), x)) for i in range(1, block + 1)]
+    agg = t.groupBy(*ID_COLUMNS).agg(F.array(*means).alias("m"),
+                                     F.avg(F.when(F.col("rd") <= 7, x)).alias("fallback"))
+    out = agg.select(*ID_COLUMNS, "fallback", F.posexplode("m").alias("pos", "base"))
+    return out.select(F.date_add(start_day, F.col("pos")).alias("date"), *ID_COLUMNS,
+                      clip_round(F.coalesce("base", "fallback", F.lit(0.0))).cast("long").alias("sales"))
+
+
+def catch_up(history: DataFrame, n_days: int, weeks: int = SAME_PHASE_WEEKS,
+             cut=None) -> DataFrame:
+    """Recursive forecast of the `n_days` days after the global last date for every series,
+    each day fed by the days before it (W9 over a multi-day gap, H4).
+
+    Blocks of ≤ 7 days need only rows ≥ 7 days old, so each block is one pass;
+    blocks are chained over a bounded working set (≤ weeks·7+6 rows per
+    series) whose lineage is cut between blocks with `cut` (a reliable
+    checkpoint). The series' last known price is carried forward (NULL if
+    never known). Output: date, store_id, item_id, sales[, sell_price].
+    """
+    from salescube.session import cut_lineage
+    cut = cut or cut_lineage
+    last = history.agg(F.max("date")).scalar()
+    work = _tail(history.select("date", *ID_COLUMNS, "sales"), weeks * 7 + 6).drop("rd")
+    generated = None
+    done = 0
+    while done < n_days:
+        block = min(7, n_days - done)
+        rows = _block(work, F.date_add(last, done + 1), block, weeks)
+        rows = cut(rows)
+        generated = rows if generated is None else generated.unionByName(rows)
+        work = cut(_tail(work.unionByName(rows), weeks * 7 + 6).drop("rd"))
+        done += block
+    if "sell_price" in history.columns:
+        price = (history.filter(F.col("sell_price").isNotNull()).groupBy(*ID_COLUMNS)
+                 .agg(F.max_by("sell_price", "date").alias("sell_price")))
+        generated = generated.join(price, ID_COLUMNS, "left")
+    return generated

@@ -137,3 +137,22 @@ def test_same_phase_forecast_rounds_half_to_even_and_takes_no_rows(spark):
     hist = long_frame(spark, {("S", "A"): [1, 0, 0, 0, 0, 0, 0, 2, 0, 0, 0, 0, 0, 0]})
     assert baselines.same_phase_forecast(hist, 1).collect()[0]["predicted_sales"] == 2
     assert baselines.same_phase_forecast(hist.limit(0), 3).count() == 0
+
+
+def test_catch_up_feeds_each_week_to_the_next_and_carries_prices(spark):
+    # Three weeks of the weekday's number, the first week ten higher; weeks=2 averages the last two weeks.
+    values = [i % 7 + (10 if i < 7 else 0) + (4 if i >= 14 else 0) for i in range(21)]
+    hist = long_frame(spark, {("S", "A"): values}).withColumn(
+        "sell_price", F.when(F.col("date") == "2024-01-20", 2.5).cast("double"))
+    out = baselines.catch_up(hist, 14, weeks=2).orderBy("date").collect()
+    assert [r["date"] for r in out] == [dt.date(2024, 1, 22) + dt.timedelta(days=i) for i in range(14)]
+    # First week: the mean of k and k + 4; second: that of k + 4 and the generated k + 2.
+    assert [r["sales"] for r in out] == [k + 2 for k in range(7)] + [k + 3 for k in range(7)]
+    assert {r["sell_price"] for r in out} == {2.5}
+
+
+def test_daily_catch_up_returns_every_day_of_every_series():
+    import __spark_entry__ as E
+    sql = E.oracle_sql()
+    assert "b2_tail" in sql["daily_catch_up"] and "sell_price" in sql["daily_catch_up"].rsplit("SELECT b.date", 1)[1]
+    assert "catch_up_scores" in sql
