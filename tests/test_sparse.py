@@ -114,3 +114,36 @@ def test_next_day_takes_its_event_and_price(spark):
     assert all((r.event_type_1, r.has_event, r.sell_price, r.snap_flag) == ("none", 0, None, 0) for r in bare)
     past = mdl.next_day_features(hist, calendar.where("false"), stores).collect()
     assert all((r.event_type_1, r.has_event, r.snap_flag) == ("none", 0, 0) for r in past) and len(past) == 2
+
+
+def line_tables(spark, path, n=400):
+    """A small set of the line tables: repeated parts, a supplier without a nation, a nation without a name."""
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+    rng = random.Random(3)
+    put("region", [(0, "AFRICA"), (1, "ASIA")], "r_regionkey long, r_name string")
+    put("nation", [(0, "KENYA", 0), (1, "JAPAN", 1), (2, None, 1)], "n_nationkey long, n_name string, n_regionkey long")
+    put("supplier", [(k, k % 4) for k in range(8)], "s_suppkey long, s_nationkey long")
+    put("part", [(k, f"Brand#{k}") for k in [*range(20), 3]], "p_partkey long, p_brand string")
+    put("lineitem", [(rng.choice([*range(20), None]), rng.randrange(8), float(rng.randint(1, 9)), rng.randint(10, 99) / 2,
+                      dt.datetime(2024, 1, 1) + dt.timedelta(days=rng.randrange(60))) for _ in range(n)],
+        "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp")
+    return str(path)
+
+
+def test_part_fact_lies_by_series_after_one_shuffle(spark, tmp_path):
+    from salescube.plans.catalog_sparse import PARTS, part_layers
+    from salescube.plans.layers import Layers
+    path = line_tables(spark, tmp_path)
+    stored, plain = part_layers(spark, path), Layers(spark, path, stored=False, **PARTS)
+    lines = stored.raw.by_series(stored.raw.line_facts).groupBy("date", "store_id", "item_id").count()
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(lines) == 1
+    assert stored.raw.buckets and shuffles(stored.build_fct_sales()) == 0
+    assert shuffles(sparse.build_features(stored.fct_sales)) == 0
+    cols = stored.build_fct_sales().columns
+    want = plain.build_fct_sales().select(cols)
+    for got in (stored.build_fct_sales(), stored.fct_sales.select(cols)):
+        assert got.count() == want.count() > 100
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
