@@ -60,11 +60,14 @@ def refreshed(spark, sf_dir) -> tuple[str, str]:
     landing = LevelledLanding(spark, scratch(spark, "refresh_feed"), SALES_DAILY_FEED_RAW)
     fact, daily = scratch(spark, "refresh_fact"), scratch(spark, "refresh_daily")
 
+    def fct_of(history, feed_rows):
+        # The feed's rows go where the stored prices of their series are.
+        return L.fct_of(history, staging.stg_sales_daily_feed(L.raw.by_series(feed_rows)))
+
     def fact_of(months):
         inside = refresh.raw_days(months) & F.trunc(F.date_add("date", staging.DATE_OFFSET_DAYS), "month").isin(months)
         history = staging.stg_sales_history(L.raw.sales_history.where(inside))
-        arrived = staging.stg_sales_daily_feed(landing.current().where(inside))
-        return marts.fct_sales(staging.stg_sales(history, arrived), L.dim_calendar, L.dim_store, L.stg_prices)
+        return fct_of(history, landing.current().where(inside))
 
     def daily_of(months):
         # The month before holds the days that the first week looks back on.
@@ -84,9 +87,8 @@ def refreshed(spark, sf_dir) -> tuple[str, str]:
 
     feed.write.parquet(src)
     landing.ingest(src)
-    replace_partitions(marts.fct_sales(
-        staging.stg_sales(L.stg_sales_history, staging.stg_sales_daily_feed(landing.current())),
-        L.dim_calendar, L.dim_store, L.stg_prices).withColumn(refresh.MONTH, F.trunc("date", "month")), fact, refresh.MONTH)
+    replace_partitions(fct_of(L.stg_sales_history, landing.current())
+                       .withColumn(refresh.MONTH, F.trunc("date", "month")), fact, refresh.MONTH)
     every = refresh.touched_months(spark.read.parquet(fact))
     refresh.refresh_months(daily, every, daily_of)
     done = landing.last_batch()

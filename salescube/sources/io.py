@@ -26,9 +26,10 @@ def append_csv_to_table(spark: SparkSession, csv_path: str, schema: T.StructType
 def clustered(df: DataFrame, partition_col: str) -> DataFrame:
     """Rows of one output partition together, so that each task writes few files.
 
-    The row's hash as a second range key lets a large partition span tasks.
+    Large output partitions are spread over tasks, small ones put together, by their
+    measured size; nothing is computed twice for a sample.
     """
-    return df.repartitionByRange(F.col(partition_col), F.xxhash64(*df.columns))
+    return df.hint("rebalance", partition_col)
 
 
 def write_long_history(df: DataFrame, path: str, fmt: str = "parquet") -> None:
