@@ -177,3 +177,14 @@ def test_checked_write_without_rows_or_rules(spark, tmp_path):
     one = spark.createDataFrame([(None, "S", "A", 1)], ACT)
     assert quality.write_checked(one, str(tmp_path / "b"), []) == {"rows": 1}
     assert spark.read.parquet(str(tmp_path / "b")).count() == 1
+
+
+def test_waiting_rows_lie_in_rocksdb_and_settings_come_back(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    w = Waiting(spark, tmp_path)
+    w.add(w.preds, [(day(0), "S", "A", 1.0)], PRED)
+    w.add(w.actuals, [(day(0), "S", "A", 1)], ACT)
+    assert len(w.run()) == 1 and spark.conf.get(key) == before
+    stored = [f for _, _, fs in os.walk(f"{w.ckpt}/state") for f in fs]
+    assert any(f.endswith(".changelog") for f in stored) and not any(f.endswith(".delta") for f in stored)
