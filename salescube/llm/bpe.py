@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from salescube.llm.common import releasing, small
 
@@ -389,17 +389,21 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", out
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for frame in small(frames, text_col):
-            lists = codec.encode_batch([t or "" for t in frame.column(text_col).to_pylist()])
-            ends = np.zeros(len(lists) + 1, dtype=np.int32)
-            np.cumsum([len(x) for x in lists], out=ends[1:])
-            values = np.concatenate([np.empty(0, np.int32), *lists]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([frame.column(c) for c in kept] + [ids], kept + [out_col])
+            yield encoded_batch(codec, frame, kept, text_col, out_col)
 
     schema = docs.select(*kept).schema.add(out_col, ArrayType(IntegerType()))
     return docs.select(*kept, text_col).mapInArrow(batches, schema)
 
 
+def encoded_batch(codec: Codec, frame: pa.RecordBatch, kept: list[str], text_col: str, out_col: str) -> pa.RecordBatch:
+    lists = codec.encode_batch([t or "" for t in frame.column(text_col).to_pylist()])
+    ends = np.zeros(len(lists) + 1, dtype=np.int32)
+    np.cumsum([len(x) for x in lists], out=ends[1:])
+    values = np.concatenate([np.empty(0, np.int32), *lists]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+    return pa.RecordBatch.from_arrays([frame.column(c) for c in kept] + [ids], kept + [out_col])
+
+
 def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """All columns but the ids, plus ``text``; null ids give a null text."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path))
@@ -439,32 +443,62 @@ def decode_lists(codec: Codec, column: pa.ListArray) -> list[str | None]:
     return [t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())]
 
 
+DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def digested_batch(codec: Codec, frame: pa.RecordBatch, kept: list[str], ids_col: str) -> pa.RecordBatch:
+    column = frame.column(ids_col)
+    ids, ends = packed_lists(column)
+    begins = [0, *ends[:-1].tolist()]
+    data = ids.astype("<u4").tobytes()
+    ids_sha = [hashlib.sha256(data[4 * a:4 * b]).hexdigest() for a, b in zip(begins, ends.tolist())]
+    text_sha = [hashlib.sha256((t or "").encode()).hexdigest() for t in decode_lists(codec, column)]
+    return pa.RecordBatch.from_arrays(
+        [frame.column(c) for c in kept]
+        + [pa.array(np.diff(ends, prepend=0)), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+        kept + DIGESTS)
+
+
 def digest(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", keep_ids: bool = False) -> DataFrame:
     """The encoded rows with ``n_tokens``, ``ids_sha256`` (of little-endian unsigned 32-bit
     integers) and ``decoded_sha256`` (of the decoded text in UTF-8), read from the ids."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    new = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = [c for c in encoded.columns if c not in new and (keep_ids or c != ids_col)]
+    kept = [c for c in encoded.columns if c not in DIGESTS and (keep_ids or c != ids_col)]
 
     @releasing(forget_codecs)
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for frame in few_lists(frames, ids_col):
-            column = frame.column(ids_col)
-            ids, ends = packed_lists(column)
-            begins = [0, *ends[:-1].tolist()]
-            data = ids.astype("<u4").tobytes()
-            ids_sha = [hashlib.sha256(data[4 * a:4 * b]).hexdigest() for a, b in zip(begins, ends.tolist())]
-            text_sha = [hashlib.sha256((t or "").encode()).hexdigest() for t in decode_lists(codec, column)]
-            yield pa.RecordBatch.from_arrays(
-                [frame.column(c) for c in kept]
-                + [pa.array(np.diff(ends, prepend=0)), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                kept + new)
+            yield digested_batch(codec, frame, kept, ids_col)
+
+    return encoded.mapInArrow(batches, with_digests(encoded.select(*kept).schema))
+
+
+def with_digests(schema: StructType) -> StructType:
+    return schema.add(DIGESTS[0], "long").add(DIGESTS[1], "string").add(DIGESTS[2], "string")
+
+
+def encode_and_digest(docs: DataFrame, path: str | None = None, text_col: str = "text", ids_col: str = "ids",
+                      keep_ids: bool = False) -> DataFrame:
+    """``digest(encode(docs))`` in one pass: a task holds one worker with one vocabulary, not two."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    plain = [c for c in docs.columns if c not in (text_col, ids_col)]
+    kept = [c for c in [*plain, *([ids_col] if keep_ids else [])] if c not in DIGESTS]
+
+    @releasing(forget_codecs)
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(shared.value)
+        for frame in small(frames, text_col):
+            encoded = encoded_batch(codec, frame, plain, text_col, ids_col)
+            for part in few_lists(iter([encoded]), ids_col):
+                yield digested_batch(codec, part, kept, ids_col)
 
-    schema = encoded.select(*kept).schema.add(new[0], "long").add(new[1], "string").add(new[2], "string")
-    return encoded.mapInArrow(batches, schema)
+    schema = docs.select(*[c for c in kept if c != ids_col]).schema
+    if keep_ids:
+        schema = schema.add(ids_col, ArrayType(IntegerType()))
+    return docs.select(*plain, text_col).mapInArrow(batches, with_digests(schema))
 
 
 def token_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts."""
-    return digest(encode(docs.select("doc_id", "text"), path), path)
+    return encode_and_digest(docs.select("doc_id", "text"), path)

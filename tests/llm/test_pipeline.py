@@ -44,3 +44,17 @@ def test_near_dedup_stage_drops_copies_and_not_their_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, nr int")
     out = P.drop_near_duplicates(spark, docs, "")
     assert out.columns == docs.columns and sorted(r.nr for r in out.collect()) == [0, 2, 4, 5]
+
+
+def test_tokenizing_is_one_python_pass_equal_to_encode_then_digest(spark):
+    from salescube.llm import bpe
+    rows = [(1, "two words, it's\n  Grüße", "x"), (2, None, "y"), (3, "", None), (3, "again " * 50, "z"), (None, "</s> 12", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = bpe.encode_and_digest(docs, keep_ids=True)
+    want = bpe.digest(bpe.encode(docs), keep_ids=True)
+    assert got.schema == want.schema and got.count() == 5
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    short = bpe.token_digest(docs)
+    assert short.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert short._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
