@@ -8,7 +8,7 @@ from conftest import long_frame
 from salescube.operators import marts, quality, refresh
 from salescube.schemas import GRAIN, SALES_DAILY_FEED_RAW
 from salescube.sources.io import replace_partitions
-from salescube.streaming.accuracy import accuracy_columns, paired, run_accuracy_stream
+from salescube.streaming.accuracy import SLICES, accuracy_columns, paired, run_accuracy_stream
 from salescube.streaming.levelled import LevelledLanding
 
 JAN = dt.date(2024, 1, 1)
@@ -188,3 +188,45 @@ def test_waiting_rows_lie_in_rocksdb_and_settings_come_back(spark, tmp_path):
     assert len(w.run()) == 1 and spark.conf.get(key) == before
     stored = [f for _, _, fs in os.walk(f"{w.ckpt}/state") for f in fs]
     assert any(f.endswith(".changelog") for f in stored) and not any(f.endswith(".delta") for f in stored)
+
+
+def test_waiting_rows_of_a_day_share_packets(spark, tmp_path):
+    w = Waiting(spark, tmp_path)
+    n = 4 * SLICES
+    w.add(w.preds, [(day(d), "S", f"I{i}", float(i)) for d in range(2) for i in range(n)], PRED)
+    w.add(w.actuals, [(day(0), "S", f"I{i}", i + 1) for i in range(n // 2)], ACT)
+    first = w.run()
+    assert first == {(day(0), f"I{i}"): (float(i), i + 1, 1 / (i + 1)) for i in range(n // 2)}
+    assert spark.read.format("statestore").load(w.ckpt).count() <= 2 * SLICES
+    # Packets of the day are read and written again; only the grains with new rows are paired.
+    w.add(w.actuals, [(day(0), "S", "I0", 3), (day(0), "S", f"I{n - 1}", n - 1)], ACT)
+    assert w.run() == first | {(day(0), "I0"): (0.0, 3, 1.0), (day(0), f"I{n - 1}"): (n - 1.0, n - 1, 0.0)}
+    assert spark.read.parquet(w.out).count() == n // 2 + 2
+
+
+def test_rows_that_come_twice_and_values_that_are_null(spark, tmp_path):
+    w = Waiting(spark, tmp_path)
+    w.add(w.preds, [(day(0), "S", "A", 1.0), (day(0), "S", "A", 2.0), (day(0), "S", "B", None),
+                    (None, "S", "A", 1.0), (day(0), None, "A", 1.0)], PRED)
+    w.add(w.actuals, [(day(0), "S", "A", 1), (day(0), "S", "A", 1), (day(0), "S", "B", 1), (None, "S", "A", 1),
+                      (day(0), None, "A", 1)], ACT)
+    assert w.run() == {(day(0), "A"): (2.0, 1, 1.0), (day(0), "B"): (None, 1, None)}
+
+
+def test_the_error_counts_late_rows_not_packets(spark, tmp_path):
+    w = Waiting(spark, tmp_path)
+    for path, rows, schema in ((w.preds, [(day(60), "S", "A", 1.0)], PRED), (w.actuals, [(day(60), "S", "A", 1)], ACT)):
+        w.add(path, rows, schema)
+    w.run(wait_days=5)
+    w.add(w.actuals, [(day(1), "S", "A", 1), (day(1), "S", "A", 2), (day(58), "S", "A", 1)], ACT)
+    with pytest.raises(ValueError, match="^2 rows"):
+        w.run(wait_days=5)
+
+
+def test_the_side_that_is_behind_sets_what_is_late(spark, tmp_path):
+    w = Waiting(spark, tmp_path)
+    w.add(w.preds, [(day(d), "S", "A", float(d)) for d in (7, 100)], PRED)
+    w.add(w.actuals, [(day(10), "S", "A", 1)], ACT)
+    assert w.run(wait_days=5) == {}
+    w.add(w.actuals, [(day(7), "S", "A", 7)], ACT)
+    assert w.run(wait_days=5) == {(day(7), "A"): (7.0, 7, 0.0)}
